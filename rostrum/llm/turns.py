@@ -19,7 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.session import lookup_rows
+from rostrum.session import lookup_rows, materialize
 
 #: Sequence numbers of a block.
 BLOCK = 512
@@ -182,6 +182,7 @@ def speaker_turns(segments: DataFrame, speakers: DataFrame, with_text: bool = Tr
     empty results; without speakers every turn is UNK. Other columns are ignored.
     """
     rows = named_pieces(speech_pieces(segments, speakers)).withColumn("block", F.floor(F.col("seq") / block).cast("bigint"))
+    rows = materialize(rows if with_text else rows.drop("said"), "named-pieces")  # read twice: for the blocks' ends and for the rows
     at = F.struct("seq", "id", "piece")
     in_block = Window.partitionBy("transcript_id", "block").orderBy("seq", "id", "piece")
     so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)

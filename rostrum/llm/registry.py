@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from rostrum.llm import p2_splitting, p3_turns, p4_canonical, p5_neardup
+from rostrum.llm import p2_splitting, p3_turns, p4_canonical, p5_neardup, p7_packing
 
-_MODULES = [p2_splitting, p3_turns, p4_canonical, p5_neardup]
+_MODULES = [p2_splitting, p3_turns, p4_canonical, p5_neardup, p7_packing]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}

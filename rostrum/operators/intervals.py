@@ -148,7 +148,7 @@ def _openings(tolerance: int):
 
 def interval_lists(df: DataFrame, owner: str, start: str, end: str, synthetic: str, tolerance_ms: int = TOLERANCE_MS, cell_ms: int = CELL_MS) -> DataFrame:
     """One row per owner and time cell with its sorted disjoint intervals of both kinds."""
-    ms = lambda c: F.round(F.col(c).cast("double") * 1000.0).cast("bigint")
+    ms = lambda c: F.round(F.col(c).cast("double") * 1000.0).try_cast("bigint")
     rows = df.select(F.col(owner).cast("bigint").alias("owner"), F.col(synthetic).cast("int").alias("kind"), ms(start).alias("s"), ms(end).alias("e"))
     rows = rows.filter("owner is not null and kind in (0, 1) and s is not null and e is not null and e > s")
     partial = rows.mapInArrow(_partial(tolerance_ms, cell_ms), LISTS)
@@ -165,7 +165,7 @@ def periods_and_gaps(df: DataFrame, owner: str, start: str, end: str, synthetic:
     `tolerance_ms` after the latest end so far. A gap is synthetic if an interval
     with synthetic = 1 shares more than a point with it.
 
-    Defined cases: rows with a null owner, start, end or flag, NaN times, and
+    Defined cases: rows with a null owner, start, end or flag, NaN and infinite times, and
     rows whose end is not after their start are left out. Repeated rows count
     once. An owner with synthetic intervals only has no row. An empty table gives
     an empty result. Other columns of df are ignored, whatever their names.

@@ -23,9 +23,9 @@ def band_join(left: DataFrame, right: DataFrame, keys: list[str], at_left: str,
     rows of its own and the two next cells, so a key with a third of all rows is
     spread over its cells. Rows with null keys or positions have no partner.
     """
-    cell = F.floor(F.col(at_left) / width).cast("bigint")
+    cell = F.floor(F.col(at_left) / width).try_cast("bigint")
     probes = left.filter(F.col(at_left).isNotNull()).withColumn("_cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    cells = right.filter(F.col(at_right).isNotNull()).withColumn("_cell", F.floor(F.col(at_right) / width).cast("bigint"))
+    cells = right.filter(F.col(at_right).isNotNull()).withColumn("_cell", F.floor(F.col(at_right) / width).try_cast("bigint"))
     return probes.join(cells, [*keys, "_cell"]).filter(F.abs(F.col(at_left) - F.col(at_right)) <= width).drop("_cell")
 
 

@@ -58,7 +58,7 @@ class _Paragraphs(HTMLParser):
             self.parts.append(data)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def html_paragraphs(html: pd.Series) -> pd.Series:
     """The texts of a page's paragraphs: line breaks kept, other blanks collapsed, empty ones left out."""
 

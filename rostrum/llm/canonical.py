@@ -212,7 +212,7 @@ def match_values(values: DataFrame, reference: DataFrame, block_entries: int = B
         return values.repartition(partitions(spark)).mapInPandas(run, MATCHED)
     blocks, salts = -(-int(total) // block_entries), partitions(spark)
     left = values.select("value", F.pmod(F.xxhash64("value"), F.lit(salts)).alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = forms.select("code", "name", "others", "region", F.pmod(F.xxhash64("code", "name"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint").alias("salt"))
+    right = forms.select("code", "name", "others", "region", F.pmod(F.xxhash64("code", "name"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"))
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return _matches(a["value"], Trie(reference_paths(b)), {fold(r) for r in b["region"] if r})

@@ -3,10 +3,10 @@
 Only the histogram of lengths goes to the driver: at most as many numbers as the
 capacity. Over it the configuration linear program (how many containers of each
 content to use) is solved by multiplicative weights. Each round prices the
-lengths, solves one knapsack by dynamic programming, reads from it the best
-content that holds each length, and raises the price of lengths that came short.
-The mean of the rounds is rounded down with the fractions carried on, and what
-is left over is packed by best fit, longest first.
+lengths, solves one knapsack by dynamic programming, covers all items with the
+contents that it finds worth most, and lowers the price of lengths that were
+covered too often. The mean of the rounds is rounded down, fullest contents
+first, and what is left over is packed by best fit, longest first.
 
 The plan says, for each length, which of its items go to which containers. Items
 are ranked within their length in two steps (counts per bucket, then ranks within
@@ -30,6 +30,8 @@ from rostrum.session import materialize
 
 ROUNDS = 48
 RATE = 0.5
+#: By how much less best fit alone must need to be preferred.
+MARGIN = 0.001
 #: Buckets of a length's items.
 BUCKETS = 64
 
@@ -62,30 +64,41 @@ def _content(pick: np.ndarray, lengths: np.ndarray, size: int) -> dict[int, int]
     return out
 
 
-def configuration_program(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE) -> dict[tuple[tuple[int, int], ...], float]:
-    """Contents (index of length, number) with the fractional number of containers of each."""
+Program = dict[tuple[tuple[int, int], ...], float]
+
+
+def configuration_program(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE) -> tuple[Program, Program]:
+    """Contents (index of length, number) with the fractional number of containers of each: the mean of the rounds, and the round that needs the fewest.
+
+    A round prices the lengths, and covers all items with the contents that the
+    knapsack finds worth most, longest items first. Lengths that were covered more
+    than once over lose price, in proportion to how much.
+    """
     price = lengths / capacity
-    used: dict[tuple[tuple[int, int], ...], float] = defaultdict(float)
-    volume = float((lengths * counts).sum())
+    mean: Program = defaultdict(float)
+    best: tuple[float, Program] = (np.inf, {})
+    longest_first = np.argsort(-lengths, kind="stable")
     for _ in range(rounds):
         _, pick = knapsack(lengths, price, capacity)
-        contents = []
-        for i, length in enumerate(lengths):
-            content = _content(pick, lengths, capacity - int(length))
-            content[i] += 1
-            contents.append(content)
-        # every length asks for the containers that its items need at its place in its content
-        mass = counts / np.array([c[i] for i, c in enumerate(contents)])
-        filled = np.array([sum(lengths[j] * n for j, n in c.items()) for c in contents])
-        mass *= volume / float((mass * filled).sum())
         covered = np.zeros(len(lengths))
-        for m, c in zip(mass, contents, strict=True):
-            for j, n in c.items():
-                covered[j] += m * n
-            used[tuple(sorted(c.items()))] += m / rounds
-        price = price * np.exp(rate * np.clip(1 - covered / counts, -1, 1))
+        answer: Program = defaultdict(float)
+        for i in longest_first:
+            need = counts[i] - covered[i]
+            if need <= 1e-9:
+                continue
+            content = _content(pick, lengths, capacity - int(lengths[i]))
+            content[int(i)] += 1
+            number = need / content[int(i)]
+            answer[tuple(sorted(content.items()))] += number
+            for k, n in content.items():
+                covered[k] += number * n
+        total = sum(answer.values())
+        best = min(best, (total, answer), key=lambda x: x[0])
+        for content, number in answer.items():
+            mean[content] += number / rounds
+        price = price * np.exp(-rate * np.clip(covered / counts - 1, 0, 1))
         price /= price.max()
-    return used
+    return mean, best[1]
 
 
 def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -132,23 +145,38 @@ class Plan:
     used: int
 
 
+def round_program(program: Program, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Whole containers for a fractional program: its contents, fullest first, rounded down and as far as there are items; then best fit for what is left."""
+    left = counts.astype(np.int64).copy()
+    chosen: list[tuple[dict[int, int], int]] = []
+    for content in sorted(program, key=lambda c: (-sum(int(lengths[i]) * n for i, n in c), c)):
+        copies = min(int(program[content] + 1e-6), *(int(left[i]) // n for i, n in content))
+        if copies > 0:
+            for i, n in content:
+                left[i] -= n * copies
+            chosen.append((dict(content), copies))
+    return chosen + best_fit(lengths, left, capacity)
+
+
+def _number(plan: list[tuple[dict[int, int], int]]) -> int:
+    return sum(n for _, n in plan)
+
+
 def make_plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> Plan:
-    """Containers for `counts` items of each length; every length is at least 1 and at most the capacity."""
+    """Containers for `counts` items of each length; every length is at least 1 and at most the capacity.
+
+    Of the two roundings (the mean of the rounds and the best of them) the one with
+    fewer containers is taken. Should best fit alone need fewer still by more than
+    `MARGIN`, as it can where items of all lengths up to the capacity are equally
+    many, its plan is taken.
+    """
     chosen: list[tuple[dict[int, int], int]] = []
-    left = counts.astype(np.int64).copy()
     if len(lengths):
-        carried = np.zeros(len(lengths))
-        for content, number in sorted(configuration_program(lengths, counts, capacity, rounds).items(), key=lambda x: (-x[1], x[0])):
-            lead = content[-1][0]
-            carried[lead] += number
-            most = min(int(left[i]) // n for i, n in content)
-            copies = min(int(carried[lead]), most)
-            if copies > 0:
-                carried[lead] -= copies
-                for i, n in content:
-                    left[i] -= n * copies
-                chosen.append((dict(content), copies))
-        chosen += best_fit(lengths, left, capacity)
+        roundings = [round_program(p, lengths, counts, capacity) for p in configuration_program(lengths, counts, capacity, rounds)]
+        chosen = min(roundings, key=_number)
+        plain = best_fit(lengths, counts.astype(np.int64), capacity)
+        if _number(plain) * (1 + MARGIN) < _number(chosen):
+            chosen = plain
     parts: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
     placed: dict[int, int] = defaultdict(int)
     base = 0

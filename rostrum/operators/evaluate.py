@@ -60,3 +60,18 @@ def weighted_measures(pairs: DataFrame, group: str, predicted: str, gold: str, w
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return sums.select(group, ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+
+
+def requests(passages: DataFrame, concepts: DataFrame, model: str, instruction: str) -> DataFrame:
+    """custom_id, body: one request per anchor, a JSON text with the concepts in order; passages have anchor_id and text, concepts slug and definition."""
+    listed = sorted((r[0], r[1] or "") for r in lookup_rows(concepts.select("slug", "definition").distinct()))
+    guide = "\n".join([instruction, *(f"- {slug}: {definition}" for slug, definition in listed)])
+    body = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(guide).alias("system"), F.col("text").alias("user"), F.array(*(F.lit(s) for s, _ in listed)).cast("array<string>").alias("slugs")))
+    return passages.filter("anchor_id is not null and text is not null").select(F.col("anchor_id").cast("string").alias("custom_id"), body.alias("body"))
+
+
+def membership_differences(existing: DataFrame, imported: DataFrame) -> DataFrame:
+    """Rows of two versions of one evaluation set that only one of them has, counting repeats, with the side that has them."""
+    imported = imported.select(*existing.columns)
+    lost, new = existing.exceptAll(imported), imported.exceptAll(existing)
+    return lost.withColumn("side", F.lit("existing")).unionByName(new.withColumn("side", F.lit("imported")))

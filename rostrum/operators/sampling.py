@@ -42,7 +42,7 @@ def stratified_sample(frame: DataFrame, key: str, stratum: str, size: int, seed:
     sizes = counts.groupBy(stratum).agg(F.sum("n").alias("members"))
     quotas = allocate(sizes, stratum, size)
     upto = Window.partitionBy(stratum).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).join(F.broadcast(quotas), stratum)
+    placed = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).join(quotas, stratum)
     placed = placed.filter("before < quota").select(stratum, "_slice", "before", "n", "quota", "members")
     chosen = rows.join(placed, [stratum, "_slice"])
     edge = F.col("before") + F.col("n") > F.col("quota")

@@ -79,7 +79,7 @@ def first_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items, series and places per section and group, named by section."""
     sections = table(spark, sf_dir, "sections").select(F.col("id").alias("section_id"), F.col("title").alias("section"), "slug")
-    rows = items(spark, sf_dir).join(F.broadcast(sections), "section_id", "left")
+    rows = items(spark, sf_dir).join(sections, "section_id", "left")
     return rows.groupBy("section", "mega_group").agg(F.count("*").alias("items"), F.count_distinct("series_code").alias("series"), F.count_distinct("place_name").alias("places"))
 
 

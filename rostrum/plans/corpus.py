@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions.text import corpus_tier, percent, timecode, word_count
@@ -15,18 +15,22 @@ from rostrum.session import r6, table
 SPEAKERS = ["K", "Q", "ANN", "UNK"]
 
 
-def segments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Segments without repeated rows, which differ in loaded_at only."""
+def segments(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """Segments without repeated rows, which differ in loaded_at only. What is wanted of a text is worked out first, so that texts aren't shuffled."""
     return table(spark, sf_dir, "segments").select("id", *columns).dropDuplicates(["id"])
 
 
+def _words() -> Column:
+    return word_count("text").alias("words")
+
+
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "transcripts").dropDuplicates(["id"])
 
 
 def speaker_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and speaking time of the main codes per transcript; percentages are of all words."""
-    rows = segments(spark, sf_dir, "transcript_id", "speaker_code", "text", "t_start", "t_end").withColumn("words", word_count("text"))
+    rows = segments(spark, sf_dir, "transcript_id", "speaker_code", _words(), "t_start", "t_end")
     span = F.coalesce(F.greatest(F.col("t_end") - F.col("t_start"), F.lit(0.0)), F.lit(0.0))
     of = lambda s, x: F.coalesce(F.sum(F.when(F.col("speaker_code") == s, x)), F.lit(0))
     sums = rows.groupBy("transcript_id").agg(F.sum("words").alias("words"), F.sum(F.round(span * 1000).cast("bigint")).alias("ms"), *(of(s, F.col("words")).alias(f"words_{s.lower()}") for s in SPEAKERS))
@@ -74,8 +78,9 @@ def question_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each labelled question the last segment within twelve, 180 words and before the next label that has a question mark, else its own."""
     order = Window.partitionBy("transcript_id").orderBy("seq", "id")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = segments(spark, sf_dir, "transcript_id", "seq", "speaker_code", "raw_label", "text").withColumn("words", word_count("text"))
-    rows = rows.select("id", "transcript_id", "speaker_code", "raw_label", F.row_number().over(order).alias("n"), F.sum("words").over(upto).alias("total"), "words", F.count("raw_label").over(upto).alias("labels"), F.coalesce(F.col("text").contains("?"), F.lit(False)).alias("asks"))
+    asks = F.coalesce(F.col("text").contains("?"), F.lit(False)).alias("asks")
+    rows = segments(spark, sf_dir, "transcript_id", "seq", "speaker_code", "raw_label", _words(), asks)
+    rows = rows.select("id", "transcript_id", "speaker_code", "raw_label", F.row_number().over(order).alias("n"), F.sum("words").over(upto).alias("total"), "words", F.count("raw_label").over(upto).alias("labels"), "asks")
     asked = rows.filter("speaker_code = 'Q' and raw_label is not null").select("id", "transcript_id", F.col("n").alias("first"), (F.col("total") - F.col("words")).alias("before"), F.col("labels").alias("own_labels"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("step"))
     asked = asked.withColumn("n", F.col("first") + F.col("step"))
     near = asked.join(rows.select("transcript_id", "n", "total", "labels", "asks"), ["transcript_id", "n"])
@@ -85,9 +90,9 @@ def question_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transcript_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule, failures, signals and status of each transcript by its segments."""
-    sums = segments(spark, sf_dir, "transcript_id", "speaker_code", "text").groupBy("transcript_id").agg(
+    sums = segments(spark, sf_dir, "transcript_id", "speaker_code", _words()).groupBy("transcript_id").agg(
         F.count_distinct(F.when(~F.col("speaker_code").isin("ANN", "UNK"), F.col("speaker_code"))).alias("speakers"),
-        F.coalesce(F.sum(F.when(F.col("speaker_code") == "K", word_count("text"))), F.lit(0)).alias("k_words"), F.count_if(F.col("speaker_code") == "K").alias("k_passages"),
+        F.coalesce(F.sum(F.when(F.col("speaker_code") == "K", F.col("words"))), F.lit(0)).alias("k_words"), F.count_if(F.col("speaker_code") == "K").alias("k_passages"),
     )
     events = transcripts(spark, sf_dir).select(F.col("id").alias("transcript_id"), "event_type")
     return quality_rules(events.join(sums, "transcript_id", "left").fillna(0, ["speakers", "k_words", "k_passages"]), "transcript_id")
@@ -128,8 +133,8 @@ def citation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reanchored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors of all segments after a re-ingest that moved every second transcript by one seq and lost the segments that end before they start."""
-    rows = segments(spark, sf_dir, "transcript_id", "seq", "text", "t_start", "t_end").filter("text is not null")
-    base = rows.select(F.col("id").alias("anchor_id"), F.col("transcript_id").cast("string").alias("item_code"), F.lit("manual").alias("kind"), F.lit("en").alias("language"), F.col("seq").cast("bigint").alias("seq"), F.sha2("text", 256).alias("sha"), "transcript_id", (F.col("t_end") < F.col("t_start")).alias("lost"))
+    rows = segments(spark, sf_dir, "transcript_id", "seq", F.sha2("text", 256).alias("sha"), "t_start", "t_end").filter("sha is not null")
+    base = rows.select(F.col("id").alias("anchor_id"), F.col("transcript_id").cast("string").alias("item_code"), F.lit("manual").alias("kind"), F.lit("en").alias("language"), F.col("seq").cast("bigint").alias("seq"), "sha", "transcript_id", (F.col("t_end") < F.col("t_start")).alias("lost"))
     now = base.filter("not coalesce(lost, false)").withColumn("seq", F.col("seq") + F.col("transcript_id") % 2)
     return reanchor(base, now)
 
@@ -145,7 +150,7 @@ def misattributed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stale_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts beside their items, with the segments and words they say they have and those they have."""
-    found = segments(spark, sf_dir, "transcript_id", "text").groupBy("transcript_id").agg(F.count("*").alias("n"), F.sum(word_count("text")).alias("w"))
+    found = segments(spark, sf_dir, "transcript_id", _words()).groupBy("transcript_id").agg(F.count("*").alias("n"), F.sum("words").alias("w"))
     titles = table(spark, sf_dir, "items", "id", "code", "title", "updated_at").groupBy("id").agg(F.max_by(F.struct("code", "title"), "updated_at").alias("x")).select(F.upper(F.trim("x.code")).alias("item_code"), "x.title")
     rows = _codes(transcripts(spark, sf_dir).select("id", "item_code", "segment_count", "word_count"))
     rows = rows.join(titles, "item_code", "left").join(found, rows.id == found.transcript_id, "left")
@@ -162,7 +167,7 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return texts.map(one)
 
-    rows = segments(spark, sf_dir, "transcript_id", "seq", "speaker_code", "text").filter("speaker_code = 'K' and text is not null")
+    rows = table(spark, sf_dir, "segments", "id", "transcript_id", "seq", "speaker_code", "text").filter("speaker_code = 'K' and text is not null").dropDuplicates(["id"])
     return rows.select("id", "transcript_id", "seq", F.posexplode(cut("text")).alias("passage", "p")).select("id", "transcript_id", "seq", "passage", "p.first", "p.words", "p.text")
 
 

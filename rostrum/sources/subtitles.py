@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# How a time, a timing line and a label are written.
 _TIME = r"(\d{2}):(\d{2}):(\d{2})[.,](\d{3})"
 TIMING = rf"{_TIME}\s*-->\s*{_TIME}"
 LABEL = r"(?s)^([A-Za-z][A-Za-z0-9 .'’-]{0,30}?):(\s*)(.*)$"

@@ -138,3 +138,16 @@ def test_windows_and_sessions(spark):
     events = spark.createDataFrame([(at(1), "u"), (at(4), "u"), (at(12), "u"), (at(30), "v")], "ts timestamp, k string")
     assert sorted((r.window_start.minute, r.k, r.events) for r in windowed_counts(events, "ts", "k").collect()) == [(0, "u", 2), (10, "u", 1), (30, "v", 1)]
     assert sorted((r.k, r.events) for r in sessions(events, "ts", "k").collect()) == [("u", 1), ("u", 2), ("v", 1)]
+
+
+def test_requests_and_membership(spark):
+    from rostrum.operators.evaluate import membership_differences, requests
+
+    passages = spark.createDataFrame([(1, "a text"), (2, None), (None, "x")], "anchor_id bigint, text string")
+    concepts = spark.createDataFrame([("b", "B."), ("a", None)], "slug string, definition string")
+    got = requests(passages, concepts, "m", "Judge:").collect()
+    assert [r.custom_id for r in got] == ["1"] and json.loads(got[0].body) == {"model": "m", "system": "Judge:\n- a: \n- b: B.", "user": "a text", "slugs": ["a", "b"]}
+    one = spark.createDataFrame([(1, 2.0), (1, 2.0), (2, 1.0)], "anchor_id bigint, weight double")
+    two = spark.createDataFrame([(2.0, 1), (1.0, 2), (1.0, 3)], "weight double, anchor_id bigint")
+    assert sorted(map(tuple, membership_differences(one, two).collect())) == [(1, 2.0, "existing"), (3, 1.0, "imported")]
+    assert membership_differences(one, one).count() == 0

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.llm.shingles import mix, shingle_hashes, text_buffer, word_hashes
+from rostrum.operators.graph import connected
 from rostrum.session import materialize, partitions
 
 #: Cells of the counting sketch, a power of two.
@@ -410,31 +411,9 @@ def similar_pairs(found: Similar) -> DataFrame:
     return both.groupBy(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).agg(F.max("similarity").alias("similarity"))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component (its smallest node) of an edge list, by alternating large and small stars.
-
-    Each round is one table in the shared folder; the number of rounds is
-    logarithmic in the size of the largest component.
-    """
-    now = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct()
-    now = materialize(now.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "stars")
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small_m = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_m, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        then = materialize(small, "stars")
-        same = then.exceptAll(now).isEmpty() and now.exceptAll(then).isEmpty()
-        now = then
-        if same:
-            break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
-
-
 def similar_groups(found: Similar) -> DataFrame:
     """id, class_id (the same for exact copies), group_id (a component of alike classes), and links: the number of other classes it is alike with."""
-    parts = components(found.links)
+    parts = connected(found.links)
     ends = found.links.select(F.col("a").alias("set_hash")).unionAll(found.links.select(F.col("b").alias("set_hash")))
     degree = ends.groupBy("set_hash").agg(F.count("*").alias("links"))
     classes = found.members.groupBy("set_hash").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))

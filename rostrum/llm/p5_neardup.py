@@ -27,4 +27,12 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "p5_found": f"""
+WITH s AS (SELECT DISTINCT id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM segments WHERE text IS NOT NULL),
+f AS (SELECT id, w, unnest(range(1, len(w) - {WORDS - 2})) AS i FROM s WHERE len(w) >= {LEAST_WORDS}),
+g AS (SELECT DISTINCT id, array_to_string(w[i:i + {WORDS - 1}], ' ') AS gram FROM f),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY id),
+p AS (SELECT a.id AS segment_a, b.id AS segment_b, count(*) AS shared FROM g a JOIN g b ON a.gram = b.gram AND a.id < b.id GROUP BY ALL)
+SELECT segment_a, segment_b FROM p JOIN n x ON x.id = segment_a JOIN n y ON y.id = segment_b WHERE shared >= {SIMILARITY} * (x.n + y.n - shared)""",
+}

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from rostrum.llm.neardup import bands, components, similar_groups, similar_pairs, similar_sets
+from rostrum.llm.neardup import bands, similar_groups, similar_pairs, similar_sets
 from rostrum.llm.shingles import shingle_hashes, text_buffer, word_hashes
 
 
@@ -121,9 +121,3 @@ def test_bands_hold_every_pair():
             p, q = (int(band.prefix(np.array([x]), t)[0]) for x in (n, m))
             k = band.classes + 1
             assert p >= min(n, n - shared + k) and q >= min(m, m - shared + k) and shared >= k
-
-
-def test_components(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 40)], "a bigint, b bigint")
-    got = dict(map(tuple, components(edges).collect()))
-    assert got == {**{i: 0 for i in range(31)}, 40: 40, 50: 40}

@@ -226,17 +226,13 @@ def pack(sizes: DataFrame, id_col: str, size_col: str, capacity: int = 2048, rou
     pieces = pieces.select("id", (F.col("k") + 1).alias("piece"), F.col("token_start").cast("bigint"), F.least(F.lit(capacity), F.col("size") - F.col("token_start")).cast("bigint").alias("tokens"))
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))
     by_bucket = pieces.groupBy("tokens", "bucket").agg(F.count("*").alias("n"))
-    rows = by_bucket.collect()  # at most capacity x BUCKETS numbers
-    counts: dict[int, int] = defaultdict(int)
-    before: list[tuple[int, int, int]] = []
-    for length, bucket, n in sorted(rows):
-        before.append((length, bucket, counts[length]))
-        counts[length] += n
-    lengths = np.array(sorted(counts), np.int64)
-    plan = make_plan(lengths, np.array([counts[int(x)] for x in lengths], np.int64), capacity, rounds)
-    offsets = spark.createDataFrame(before, "tokens bigint, bucket bigint, offset bigint")
+    histogram = sorted(map(tuple, by_bucket.groupBy("tokens").agg(F.sum("n").alias("n")).collect()))  # at most `capacity` rows
+    lengths, counts = (np.array([r[i] for r in histogram], np.int64) for i in (0, 1))
+    plan = make_plan(lengths, counts, capacity, rounds)
+    before = F.sum("n").over(Window.partitionBy("tokens").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = by_bucket.select("tokens", "bucket", F.coalesce(before, F.lit(0)).alias("offset"))
     within = F.row_number().over(Window.partitionBy("tokens", "bucket").orderBy("id", "piece"))
-    ranked = pieces.select("*", within.alias("k")).join(F.broadcast(offsets), ["tokens", "bucket"])
+    ranked = pieces.select("*", within.alias("k")).join(offsets, ["tokens", "bucket"])
     ranked = ranked.select("id", "piece", "token_start", "tokens", (F.col("offset") + F.col("k") - 1).alias("rank"))
     shared = spark.sparkContext.broadcast(plan.runs)
     packed = ranked.mapInArrow(_assign(shared), "container_id bigint, id bigint, piece int, token_start bigint, tokens bigint, container_tokens bigint")

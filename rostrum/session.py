@@ -28,9 +28,19 @@ def session(app: str = "rostrum", cpus: int | str = "*", **conf: str) -> SparkSe
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     spark = builder.config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    share_package(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, whatever their working folder; on a cluster without a shared folder, ship it with --py-files."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, here])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One Parquet table, with only the named columns if any are named."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,13 +7,15 @@ floor of 1e-6, and lower scores better.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rostrum.functions.text import normal_space, tokens
+from rostrum.functions.text import folded, normal_space, tokens
 
 # The constants of the score, and words that carry no meaning of their own in a name.
 K1, B, FLOOR = 1.2, 0.75, 1e-6
@@ -39,6 +41,11 @@ def query_terms(name: str, aliases: list[str] = (), extra: list[str] = ()) -> li
     return list(dict.fromkeys(p for w in found for p in w.split("'") if len(p) >= LEAST_TERM))
 
 
+def fold_term(term: str) -> str:
+    """A term as the texts' tokens are folded."""
+    return "".join(c for c in unicodedata.normalize("NFD", term.lower()) if not unicodedata.combining(c))
+
+
 def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """term, id, tf, doc_len: the inverted index as a table, to be written partitioned by a bucket of the term."""
     rows = docs.select(F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
@@ -63,8 +70,9 @@ def bm25(docs: DataFrame, text_col: str, prefixes: list[str]) -> DataFrame:
     A first pass gathers one row of counts, a second scores; neither shuffles rows.
     Null and empty texts count as rows of length 0. No prefix, no rows.
     """
+    prefixes = list(dict.fromkeys(fold_term(p) for p in prefixes))
     if not prefixes:
-        return docs.limit(0).withColumn("score", F.lit(0.0))
+        return docs.limit(0).withColumns({"doc_len": F.lit(0), "score": F.lit(0.0)})
     counted = prefix_counts(docs, text_col, prefixes)
     names = [f"f{i}" for i in range(len(prefixes))]
     stats = counted.agg(F.count("*").alias("rows"), F.avg("doc_len").alias("mean"), *(F.count_if(F.col(f) > 0).alias(f"n_{f}") for f in names)).first()
@@ -78,8 +86,9 @@ def bm25(docs: DataFrame, text_col: str, prefixes: list[str]) -> DataFrame:
         return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / mean))
 
     score = -reduce(lambda a, b: a + b, [part(f) for f in names])
-    hit = reduce(lambda a, b: a | b, [F.col(f) > 0 for f in names])
-    return counted.filter(hit).withColumn("score", score).drop(*names)
+    # one pattern finds the rows with a term, so that tokens are made and counted for these only
+    hit = folded(text_col).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, prefixes))})")
+    return prefix_counts(docs.filter(hit), text_col, prefixes).withColumn("score", score).drop(*names)
 
 
 def capped_distinct(ranked: DataFrame, order: list, group_col: str, text_col: str, per_group: int, limit: int, batch: int = 4) -> DataFrame:

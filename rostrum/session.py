@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Largest number of rows that a lookup read to the driver may have.
 MAX_LOOKUP_ROWS = 10_000
+#: Tables in the shared folder that this process wrote.
+_WRITTEN: list[str] = []
 
 
 def session(app: str = "rostrum", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -71,11 +73,23 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    _WRITTEN.append(path)
     if path.startswith("file:"):
         atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_materialized(spark: SparkSession) -> int:
+    """Deletes the tables that this process wrote to the shared folder; returns their number. To be called when no plan reads them any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _WRITTEN:
+        path = hadoop(_WRITTEN.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
+
+
 def lookup_rows(df: DataFrame, limit: int = MAX_LOOKUP_ROWS) -> list:
     """The rows of a reference table, on the driver, behind a check of its size."""
     rows = df.limit(limit + 1).collect()

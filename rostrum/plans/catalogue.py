@@ -293,4 +293,6 @@ ORACLE = {
       SELECT item_id, language, kind, id FROM s WHERE kind = 'manual'
       UNION ALL SELECT item_id, language, kind, id FROM s o WHERE kind <> 'manual' AND NOT EXISTS (SELECT 1 FROM s m WHERE m.kind = 'manual' AND m.item_id = o.item_id AND m.language = o.language)
       QUALIFY row_number() OVER (PARTITION BY item_id, language ORDER BY kind, id) = 1""",
+    "best_rows": f"""WITH {_IT}, g AS (SELECT title, min(id) AS id, list_reduce(list({{'m': media_type, 'd': duration_minutes}} ORDER BY id), lambda a, b: CASE WHEN (b.m IS NOT NULL AND a.m IS NULL) OR (b.d IS NOT NULL AND a.d IS NULL) THEN b ELSE a END) AS x
+      FROM it WHERE title IS NOT NULL GROUP BY title) SELECT title, id, x.m AS media_type, x.d AS duration_minutes FROM g""",
 }

@@ -73,7 +73,7 @@ def first_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each series item with its series' first place in the catalogue, and its own place within the series."""
     rows = items(spark, sf_dir).filter("series_code is not null and trim(series_code) <> ''")
     series = Window.partitionBy("series_code")
-    return rows.select("id", F.min("pdf_order").over(series).alias("series_first"), F.row_number().over(series.orderBy(F.col("pdf_order").asc_nulls_last(), "id")).alias("episode"))
+    return rows.select("id", F.min("pdf_order").over(series).alias("series_first"), F.row_number().over(series.orderBy(F.col("pdf_order").asc_nulls_last(), "id")).cast("bigint").alias("episode"))
 
 
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     have = subtitles(spark, sf_dir).filter("item_id is not null").select(F.col("item_id").alias("id"))
     rows = items(spark, sf_dir).filter("deleted_at is null").join(have, "id", "left_anti")
     talks = F.coalesce(F.col("event_type").isin("T", "TS", "TYP"), F.lit(False))
-    return rows.select("id", "code", talks.alias("talk"), F.coalesce("pdf_order", F.lit(2147483647)).alias("sort_order"), F.dense_rank().over(Window.partitionBy(talks).orderBy(F.col("pdf_order").asc_nulls_last(), "id")).alias("place"))
+    return rows.select("id", "code", talks.alias("talk"), F.coalesce("pdf_order", F.lit(2147483647)).alias("sort_order"), F.dense_rank().over(Window.partitionBy(talks).orderBy(F.col("pdf_order").asc_nulls_last(), "id")).cast("bigint").alias("place"))
 
 
 def missing_video(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,7 @@ def low_bitrate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def newest_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two newest media rows of each item."""
     order = Window.partitionBy("item_id").orderBy(F.col("downloaded_at").desc_nulls_last(), "id")
-    rows = table(spark, sf_dir, "item_media").distinct().filter("item_id is not null").withColumn("place", F.row_number().over(order))
+    rows = table(spark, sf_dir, "item_media").distinct().filter("item_id is not null").withColumn("place", F.row_number().over(order).cast("bigint"))
     return rows.filter("place <= 2").select("id", "item_id", "media", "place")
 
 

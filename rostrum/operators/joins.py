@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions.text import normal_title, titles_match
+from rostrum.sources.subtitles import duration_fits
 
 
 def best_per_key(df: DataFrame, key: str, value: str, order: list[Column]) -> DataFrame:
@@ -108,15 +109,27 @@ def greedy_assignment(scores: DataFrame, order: DataFrame, least: float = 0.85)
     return rows.groupBy("component").applyInPandas(assign, "item_id bigint, link_id bigint, score double")
 
 
+def _claimants(claims: DataFrame) -> DataFrame:
+    """code, path, drift of those claims of a shared path whose duration fits (null for the others), ranked by it (of ties the first code)."""
+    fits = duration_fits(F.col("actual_secs"), F.col("expected_minutes"))
+    drift = F.when(fits, F.abs(F.col("actual_secs") - F.col("expected_minutes") * 60.0))
+    shared = Window.partitionBy("path")
+    rows = claims.select("code", "path", drift.alias("drift"), F.count("*").over(shared).alias("claims")).filter("claims > 1")
+    return rows.withColumn("place", F.row_number().over(shared.orderBy(F.col("drift").asc_nulls_last(), "code")))
+
+
 def misattributed(claims: DataFrame) -> DataFrame:
     """Of several items that share a source file all but the one whose duration fits best: code, path, keeper.
 
     `claims` has code, path, actual_secs and expected_minutes; the keeper has the
-    least difference (unknown ones last, of ties the first code).
+    least difference of those that `duration_fits` (of ties the first code). Where
+    none fits there is no keeper, and all items of the file come out.
     """
-    drift = F.abs(F.col("actual_secs") - F.col("expected_minutes") * 60.0)
-    shared = Window.partitionBy("path")
-    ranked = claims.withColumn("drift", drift).withColumn("claims", F.count("*").over(shared))
-    order = shared.orderBy(F.col("drift").asc_nulls_last(), "code")
-    ranked = ranked.filter("claims > 1").select("*", F.row_number().over(order).alias("place"), F.first("code").over(order).alias("keeper"))
-    return ranked.filter("place > 1").select("code", "path", "keeper")
+    best = F.first(F.when(F.col("drift").isNotNull(), F.col("code"))).over(Window.partitionBy("path").orderBy("place"))
+    return _claimants(claims).withColumn("keeper", best).filter("keeper is null or place > 1").select("code", "path", "keeper")
+
+
+def close_calls(claims: DataFrame) -> DataFrame:
+    """path, keeper and runners_up (nearest first) where more than one item's duration fits, so that it cannot really decide."""
+    fitting = _claimants(claims).filter("drift is not null").groupBy("path").agg(F.sort_array(F.collect_list(F.struct("place", "code")))["code"].alias("codes"))
+    return fitting.filter(F.size("codes") > 1).select("path", F.col("codes")[0].alias("keeper"), F.slice("codes", F.lit(2), F.size("codes")).alias("runners_up"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions.text import corpus_tier, percent, timecode, word_count
 from rostrum.operators.attribution import passage_bounds, ends_sentence, quality_rules
-from rostrum.operators.joins import band_join, misattributed, nearest, reanchor
+from rostrum.operators.joins import band_join, close_calls, misattributed, nearest, reanchor
 from rostrum.operators.quality import citation_states
 from rostrum.session import r6, table
 
@@ -139,15 +139,24 @@ def reanchored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reanchor(base, now)
 
 
-def misattributed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcripts that share a source file with one whose duration fits better."""
+def _source_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "items", "id", "code", "duration_minutes", "updated_at").groupBy("id").agg(F.max_by(F.struct("code", "duration_minutes"), "updated_at").alias("x")).select(F.upper(F.trim("x.code")).alias("item_code"), "x.duration_minutes")
     rows = _codes(transcripts(spark, sf_dir).select("id", "item_code", "source_path", "duration_secs")).filter("source_path is not null").join(items, "item_code", "left")
-    claims = rows.select(F.col("id").alias("code"), F.col("source_path").alias("path"), F.col("duration_secs").alias("actual_secs"), F.col("duration_minutes").alias("expected_minutes"))
-    found = misattributed(claims)
+    return rows.select(F.col("id").alias("code"), F.col("source_path").alias("path"), F.col("duration_secs").alias("actual_secs"), F.col("duration_minutes").alias("expected_minutes"))
+
+
+def misattributed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts that share a source file and are not the one whose duration fits best; all of them, without a keeper, if none fits."""
+    found = misattributed(_source_claims(spark, sf_dir))
     return found.select(F.col("code").alias("transcript_id"), F.col("path").alias("source_path"), F.col("keeper").alias("keeper_id"))
 
 
+def misattributed_close_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared source files that more than one transcript's duration fits, with the one kept and the runners-up."""
+    found = close_calls(_source_claims(spark, sf_dir))
+    return found.select(F.col("path").alias("source_path"), F.col("keeper").alias("keeper_id"), "runners_up")
+
+
 def stale_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts beside their items, with the segments and words they say they have and those they have."""
     found = segments(spark, sf_dir, "transcript_id", _words()).groupBy("transcript_id").agg(F.count("*").alias("n"), F.sum("words").alias("w"))
@@ -185,7 +194,7 @@ def speech_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "speaker_share": speaker_share, "tier_rollup": tier_rollup, "turns_merged": turns_merged, "answers_link": answers_link, "carried_labels": carried_labels,
     "question_ends": question_ends, "transcript_quality": transcript_quality, "overlapping_speech": overlapping_speech, "nearest_answer": nearest_answer,
-    "citation_check": citation_check, "reanchored": reanchored, "misattributed_sources": misattributed_sources, "stale_counts": stale_counts,
+    "citation_check": citation_check, "reanchored": reanchored, "misattributed_sources": misattributed_sources, "misattributed_close_calls": misattributed_close_calls, "stale_counts": stale_counts,
     "passages": passages, "passage_words": passage_words, "speech_times": speech_times,
 }
 
@@ -242,6 +251,9 @@ ORACLE = {
     "misattributed_sources": f"""WITH {_TR}, {_IT}, r AS (SELECT tr.id, tr.source_path, count(*) OVER (PARTITION BY source_path) AS n, row_number() OVER w AS place, first_value(tr.id) OVER w AS keeper
         FROM tr LEFT JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL WINDOW w AS (PARTITION BY source_path ORDER BY abs(tr.duration_secs - it.duration_minutes * 60.0) NULLS LAST, tr.id))
       SELECT id AS transcript_id, source_path, keeper AS keeper_id FROM r WHERE n > 1 AND place > 1""",
+    "misattributed_close_calls": f"""WITH {_TR}, {_IT}, r AS (SELECT tr.id, tr.source_path, abs(tr.duration_secs - it.duration_minutes * 60.0) AS drift, it.duration_minutes * 60.0 AS expected FROM tr JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL),
+      f AS (SELECT source_path, list(id ORDER BY drift, id) AS ids FROM r WHERE expected <> 0 AND drift <= greatest(180.0, 0.08 * expected) GROUP BY source_path HAVING count(*) > 1)
+      SELECT source_path, ids[1] AS keeper_id, ids[2:] AS runners_up FROM f""",
     "stale_counts": f"""WITH {_SEG}, {_TR}, {_IT}, f AS (SELECT transcript_id, count(*) AS n, sum({_W}) AS w FROM seg GROUP BY transcript_id)
       SELECT tr.id, it.title, tr.segment_count, coalesce(f.n, 0) AS segments_found, tr.word_count, CAST(coalesce(f.w, 0) AS BIGINT) AS words_found, coalesce(tr.segment_count <> coalesce(f.n, 0), true) AS stale
       FROM tr LEFT JOIN it ON it.k = upper(trim(tr.item_code)) LEFT JOIN f ON f.transcript_id = tr.id""",

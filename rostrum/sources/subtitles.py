@@ -58,9 +58,9 @@ def last_timestamp(files: DataFrame, key: str = "path", text: str = "text") -> D
 
 
 def duration_fits(actual: Column, expected_minutes: Column) -> Column:
-    """Whether two durations differ by at most three minutes or eight in a hundred; false if either is unknown."""
+    """Whether two durations differ by at most three minutes or eight in a hundred; false if either is unknown, as a runtime of 0 is too."""
     expected = expected_minutes * 60.0
-    return F.coalesce(F.abs(actual - expected) <= F.greatest(F.lit(180.0), 0.08 * expected), F.lit(False))
+    return F.coalesce((expected != 0) & (F.abs(actual - expected) <= F.greatest(F.lit(180.0), 0.08 * expected)), F.lit(False))
 
 
 def resolve_sources(items: DataFrame, listing: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostrum.operators.graph import connected, dead_links
-from rostrum.operators.joins import band_join, greedy_assignment, link_scores, misattributed, nearest, reanchor
+from rostrum.operators.joins import band_join, close_calls, greedy_assignment, link_scores, misattributed, nearest, reanchor
 from rostrum.operators.sampling import allocate, stratified_sample
 from rostrum.operators.sync import change_set, check_not_empty, insert_new, keep_best, next_versions, replace_scopes, restore_children, upsert
+from rostrum.plans.corpus import _source_claims, misattributed_sources
 
 
 def test_band_and_nearest_against_brute_force(spark):
@@ -50,6 +51,29 @@ def test_misattributed(spark, rows):
     assert rows(misattributed(claims)) == [("B", "f", "A"), ("C", "f", "A")]
 
 
+def test_misattributed_keeps_only_what_fits(spark, rows):
+    # f: none within 3 min or 8 %; g: two fit; h: 8 % of a long runtime; k: runtimes of 0 and null and a null duration fit nothing
+    data = [("A", "f", 3600.0, 80), ("B", "f", 3600.0, 30), ("C", "g", 3600.0, 62), ("D", "g", 3600.0, 61), ("E", "g", 3600.0, 90), ("F", "h", 7600.0, 120), ("G", "h", 7600.0, None)]
+    data += [("H", "k", 100.0, 0), ("I", "k", 100.0, None), ("J", "k", None, 2), ("L", "alone", 60.0, 90)]
+    claims = spark.createDataFrame(data, "code string, path string, actual_secs double, expected_minutes int")
+    want = [("A", "f", None), ("B", "f", None), ("C", "g", "D"), ("E", "g", "D"), ("G", "h", "F"), ("H", "k", None), ("I", "k", None), ("J", "k", None)]
+    assert rows(misattributed(claims)) == want
+    assert rows(close_calls(claims)) == [("g", "D", ["C"])]
+
+
+def test_misattributed_sources_by_the_rule_of_the_reference(spark, rows):
+    sf = "/root/testdata/sf0.01"
+    groups = {}
+    for r in _source_claims(spark, sf).collect():
+        groups.setdefault(r.path, []).append(r)
+    want = []
+    for path, members in groups.items():
+        fit = sorted((abs(m.actual_secs - 60 * m.expected_minutes), m.code) for m in members if m.actual_secs is not None and m.expected_minutes and abs(m.actual_secs - 60 * m.expected_minutes) <= max(180, 4.8 * m.expected_minutes))
+        keeper = fit[0][1] if fit else None
+        want += [(m.code, path, keeper) for m in members if len(members) > 1 and m.code != keeper]
+    assert rows(misattributed_sources(spark, sf)) == sorted(want, key=repr)
+
+
 def test_components_and_dead_links(spark, rows):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (7, 7), (None, 3)]
     got = dict(rows(connected(spark.createDataFrame(edges, "a int, b int"))))

@@ -30,7 +30,7 @@ PHRASE_WORDS = 5
 LEAST_HOSTS = 2
 #: Words in lists that flag a page, and those that flag it if so many of its phrases are replicated.
 LIST_SHARE, NEAR_SHARE, STITCHED_SHARE = 0.5, 0.42, 0.5
-#: Fewer words in lists are a heading, as a catalogue entry has, and no list.
+#: Beside prose, fewer words in lists are a heading, as a catalogue entry has, and no list.
 LEAST_LIST_WORDS, LEAST_NEAR_WORDS = 12, 24
 CHUNK_TEXTS, CHUNK_WORDS = 20_000, 4_000_000
 
@@ -158,7 +158,7 @@ def page_evidence(pages: DataFrame, id_col: str, text_col: str, host_col: str, l
 
 
 def stuffed_pages(evidence: DataFrame) -> DataFrame:
-    """The pages that are flagged: mostly lists, or nearly so and mostly replicated elsewhere."""
+    """The pages that are flagged: mostly lists, or nearly so and mostly replicated elsewhere. A page without any prose has no heading and is flagged at every length."""
     share, words = F.col("list_share"), F.col("list_words")
     near = (share > NEAR_SHARE) & (words >= LEAST_NEAR_WORDS) & (F.col("stitched_share") > STITCHED_SHARE)
-    return evidence.filter(((share > LIST_SHARE) & (words >= LEAST_LIST_WORDS)) | near)
+    return evidence.filter(((share > LIST_SHARE) & ((words >= LEAST_LIST_WORDS) | (words == F.col("words")))) | near)

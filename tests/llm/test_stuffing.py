@@ -41,6 +41,14 @@ def test_flags_and_hosts(spark):
     assert stuffed_pages(page_evidence(df.limit(0), "doc_id", "text", "source")).count() == 0
 
 
+def test_short_pages_of_lists_only(spark):
+    # 1, 2: tags or a link and nothing else; 3: a heading over prose; 4: prose; 5: no words
+    rows = [(1, "peace, mind, book, dvd", "a"), (2, "[Calm Mind](https://a.example/b)", "a"), (3, "Public Talk 3, Brenwick 1961, Audio\nI do not know it.", "a"), (4, "They do not ask us.", "a"), (5, "?!", "a")]
+    evidence = page_evidence(spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA), "doc_id", "text", "source")
+    assert {r.doc_id: r.list_share for r in evidence.collect()}[3] > 0.5
+    assert sorted(r.doc_id for r in stuffed_pages(evidence).collect()) == [1, 2]
+
+
 def test_hosts_equal_brute_force(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choice("abcdef") for _ in range(rng.randrange(0, 40))), rng.choice(["x", "y", "z", None])) for i in range(150)]

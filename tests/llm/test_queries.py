@@ -27,3 +27,12 @@ FOUND = {
 @pytest.mark.parametrize("name", list(FOUND))
 def test_columns(spark, name):
     assert [f"{c} {t}" for c, t in QUERIES[name](spark, SF).dtypes] == FOUND[name]
+
+
+def test_a_stated_total_is_redistributed_to_siblings_first(spark):
+    found = {r.source: r for r in QUERIES["p8_shares_stated"](spark, "/root/testdata/sf0.1").collect()}
+    full = {s for s, r in found.items() if r.most_uses == r.max_repeats and r.actual_share < r.target_share}
+    assert "field_notes" in full and found["field_notes"].used_tokens < 0.4 * found["field_notes"].target_share * sum(r.used_tokens for r in found.values())
+    over = {s: r.actual_share / r.target_share for s, r in found.items() if s not in full}
+    # study_notes is field_notes' sibling in the domain 'notes'
+    assert max(over, key=over.get) == "study_notes" and min(over.values()) > 1

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -161,12 +161,17 @@ def reference_paths(frame: pd.DataFrame) -> list[tuple[str, str]]:
 # -- matching ---------------------------------------------------------------------------------
 
 
-def search_value(trie: Trie, value: str, regions: set[str]) -> tuple[int, list[str]] | None:
-    """The least distance of any part of a value, and the codes at it; a part that is a region's name is no part."""
-    parts = [p for p in parts_of(value)]
+def words_of(value: str, regions: set[str]) -> list[str]:
+    """What of a value is searched: its parts but those that are a region's name, or all if all are; folded."""
+    parts = parts_of(value)
     named = [p for p in parts if fold(p) not in regions] or parts
+    return list(dict.fromkeys([fold(p) for p in named] + ([fold(value)] if len(parts) == 1 else [])))
+
+
+def search_words(trie: Trie, words: Iterable[str]) -> tuple[int, list[str]] | None:
+    """The least distance of any of the words, and the codes at it."""
     best: dict[str, int] = {}
-    for word in dict.fromkeys([fold(p) for p in named] + ([fold(value)] if len(parts) == 1 else [])):
+    for word in words:
         for d, code in trie.search(word):
             best[code] = min(d, best.get(code, 99))
     if not best:
@@ -178,15 +183,36 @@ def search_value(trie: Trie, value: str, regions: set[str]) -> tuple[int, list[s
 MATCHED = "value string, distance int, codes array<string>"
 
 
-def _matches(values: pd.Series, trie: Trie, regions: set[str]) -> pd.DataFrame:
+def _matches(values: Iterable[tuple[str, Iterable[str]]], trie: Trie) -> pd.DataFrame:
+    """`values` are pairs of a value and what of it is searched."""
     rows = []
-    for value in values:
-        found = search_value(trie, value, regions)
+    for value, words in values:
+        found = search_words(trie, words)
         if found:
             rows.append((value, *found))
     return pd.DataFrame(rows, columns=["value", "distance", "codes"])
 
 
+def _searched(values: DataFrame, reference: DataFrame) -> DataFrame:
+    """value, words: `words_of` of each value with the regions of the whole list, which are joined as a table."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(v, fold(p), False) for v in f["value"] for p in parts_of(v)]
+            rows += [(v, fold(v), True) for v in f["value"] if len(parts_of(v)) == 1]
+            yield pd.DataFrame(rows, columns=["value", "word", "whole"])
+
+    def folded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"word": [fold(r) for r in f["region"]]})
+
+    regions = reference.select("region").filter("region <> ''").distinct().mapInPandas(folded, "word string").distinct().withColumn("is_region", F.lit(True))
+    parts = values.mapInPandas(cut, "value string, word string, whole boolean").join(regions, "word", "left")
+    some = lambda c: F.collect_set(F.when(c, F.col("word")))
+    sets = parts.groupBy("value").agg(some(~F.col("whole") & F.col("is_region").isNull()).alias("named"), some(~F.col("whole")).alias("parts"), some(F.col("whole")).alias("all"))
+    return sets.select("value", F.array_union(F.when(F.size("named") > 0, F.col("named")).otherwise(F.col("parts")), "all").alias("words"))
+
+
 def match_values(values: DataFrame, reference: DataFrame, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """value, distance, codes: the nearest entries of each value that has one within its allowed distance.
 
@@ -207,15 +233,15 @@ def match_values(values: DataFrame, reference: DataFrame, block_entries: int = B
             paths, regions = shared.value
             trie = Trie(paths)
             for f in frames:
-                yield _matches(f["value"], trie, regions)
+                yield _matches(((v, words_of(v, regions)) for v in f["value"]), trie)
 
         return values.repartition(partitions(spark)).mapInPandas(run, MATCHED)
     blocks, salts = -(-int(total) // block_entries), partitions(spark)
-    left = values.select("value", F.pmod(F.xxhash64("value"), F.lit(salts)).alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = forms.select("code", "name", "others", "region", F.pmod(F.xxhash64("code", "name"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"))
+    left = _searched(values, forms).select("value", "words", F.pmod(F.xxhash64("value"), F.lit(salts)).alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = forms.select("code", "name", "others", F.pmod(F.xxhash64("code", "name"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"))
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _matches(a["value"], Trie(reference_paths(b)), {fold(r) for r in b["region"] if r})
+        return _matches(zip(a["value"], a["words"], strict=True), Trie(reference_paths(b)))
 
     found = left.groupBy("block", "salt").cogroup(right.groupBy("block", "salt")).applyInPandas(meet, MATCHED)
     nearest = found.groupBy("value").agg(F.min("distance").alias("distance"), F.collect_list(F.struct("distance", "codes")).alias("all"))

@@ -96,3 +96,14 @@ def test_blocks_of_a_long_list_give_the_same(spark, places):
     values = spark.createDataFrame([(v,) for v in ("Bernwick", "Prt Ellery", "aldermere", "zzz", None, "Oshmar", "old quay")], "value string")
     one, many = ({r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, n).collect()} for n in (1000, 2))
     assert one == many and one["aldermere"] == (0, ("ALM", "AM"))
+
+
+def test_regions_of_other_blocks_are_no_names(spark, places):
+    # Vessaly and Oshmar are regions of other entries and names of V and O
+    more = spark.createDataFrame([("V", "Vessaly", None, None), ("O", "Oshmar", "Cundrath", None), ("C", "Cundrath Hill", "Nordvland", None)], PSCHEMA)
+    reference = places.unionByName(more).selectExpr("place_code as code", "place_name as name", "other_names as others", "region_name as region")
+    values = spark.createDataFrame([(v,) for v in ("Aldermare, Vessaly", "Bernwick / Oshmar", "Oshmar", "Vesaly", "Nowhere, Oshmar", "Oshmar, Vessaly", "Brenwick, ?", "?", "")], "value string")
+    one = {r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, 1000).collect()}
+    assert one["Aldermare, Vessaly"] == (1, ("ALM", "AM")) and one["Oshmar"] == (0, ("O",)) and "Nowhere, Oshmar" not in one
+    for n in (1, 2, 5):
+        assert {r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, n).collect()} == one

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.functions.text import tokens, word_count
@@ -13,6 +13,7 @@ from rostrum.session import r6, table
 CONCEPT, ALIASES = "Silence & Listening", ["quiet mind", "attention"]
 TERMS = query_terms(CONCEPT, ALIASES)
 LIMIT, PER_SOURCE, LEAST_WORDS = 60, 10, 60
+CITED_KINDS = ["letter", "study_note", "dialogue"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,24 +41,46 @@ def bm25_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped_distinct(rows, ["score", "doc_id"], "grp", "text", PER_SOURCE, LIMIT).select("rank", "doc_id", "grp", "score")
 
 
-def recall_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first letter, study note and dialogue of every item as citations to be found: which are, and why the others are not."""
-    docs = documents(spark, sf_dir)
-    gold = docs.filter("item_code is not null").groupBy(F.upper(F.trim("item_code")).alias("item")).agg(F.min_by(F.struct("doc_id", "word_count"), "doc_id").alias("x")).select("x.doc_id", "x.word_count")
+def _recall(spark: SparkSession, sf_dir: str, docs: DataFrame, *cited: Column) -> DataFrame:
+    """The first of `docs` of each combination of `cited` as a citation to be found."""
+    gold = docs.groupBy(*cited).agg(F.min_by(F.struct("doc_id", "word_count"), "doc_id").alias("x")).select("x.doc_id", "x.word_count")
     rows = _ranked(spark, sf_dir).select("doc_id", "grp", "text", "score").cache()
     capped = capped_distinct(rows, ["score", "doc_id"], "grp", "text", PER_SOURCE, LIMIT)
     free = capped_distinct(rows, ["score", "doc_id"], "grp", "text", LIMIT, LIMIT)
-    matches = bm25(docs, "text", TERMS).select("doc_id")
+    matches = bm25(documents(spark, sf_dir), "text", TERMS).select("doc_id")
     return recall_report(gold, capped, free, matches, ["doc_id"], LEAST_WORDS).select("doc_id", "word_count", "found_rank", "outcome")
 
 
-def recall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations by outcome, with the deepest rank and whether it leaves less than a tenth of the list."""
-    rows = recall_gaps(spark, sf_dir)
+def _item() -> Column:
+    return F.upper(F.trim("item_code")).alias("item")
+
+
+def recall_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first document of every item, of whatever kind, as a citation to be found: which are, and why the others are not."""
+    return _recall(spark, sf_dir, documents(spark, sf_dir).filter("item_code is not null"), _item())
+
+
+def recall_gaps_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first letter, study note and dialogue of every item as citations to be found: which are, and why the others are not."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "item_code", "doc_kind").withColumn("word_count", word_count("text"))
+    return _recall(spark, sf_dir, docs.filter(F.col("item_code").isNotNull() & F.col("doc_kind").isin(CITED_KINDS)), _item(), F.col("doc_kind"))
+
+
+def _summary(rows: DataFrame) -> DataFrame:
     worst = F.max("found_rank")
     return rows.groupBy("outcome").agg(F.count("*").alias("citations"), worst.alias("worst_rank"), F.coalesce(LIMIT - worst < LIMIT // 10, F.lit(False)).alias("thin"))
 
 
+def recall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations by outcome, with the deepest rank and whether it leaves less than a tenth of the list."""
+    return _summary(recall_gaps(spark, sf_dir))
+
+
+def recall_summary_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the citations of each kind."""
+    return _summary(recall_gaps_by_kind(spark, sf_dir))
+
+
 def prefix_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each term of the concept the documents and words that begin with it: over the distinct vocabulary, not the texts."""
     terms = spark.createDataFrame([(t,) for t in TERMS], "term string")
@@ -97,7 +120,7 @@ def text_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "bm25_scores": bm25_scores, "bm25_topk": bm25_topk, "bm25_capped": bm25_capped, "recall_gaps": recall_gaps, "recall_summary": recall_summary, "prefix_df": prefix_df,
+    "bm25_scores": bm25_scores, "bm25_topk": bm25_topk, "bm25_capped": bm25_capped, "recall_gaps": recall_gaps, "recall_summary": recall_summary, "recall_gaps_by_kind": recall_gaps_by_kind, "recall_summary_by_kind": recall_summary_by_kind, "prefix_df": prefix_df,
     "posting_lists": posting_lists, "stopword_share": stopword_share, "link_hosts": link_hosts, "text_copies": text_copies,
 }
 
@@ -126,9 +149,13 @@ def _capped_sql(name: str, cap: int) -> str:
       {name} AS (SELECT CAST(row_number() OVER (ORDER BY n) AS INT) AS rank, doc_id, grp, score FROM {name}_walk WHERE taken)"""
 
 
-def _recall_sql() -> str:
+_FIRST_OF_ITEM = "SELECT min(doc_id) AS doc_id FROM t WHERE item_code IS NOT NULL GROUP BY upper(trim(item_code))"
+_FIRST_OF_KIND = f"SELECT min(doc_id) AS doc_id FROM documents WHERE item_code IS NOT NULL AND doc_kind IN ({', '.join(repr(k) for k in CITED_KINDS)}) GROUP BY upper(trim(item_code)), doc_kind"
+
+
+def _recall_sql(gold: str = _FIRST_OF_ITEM) -> str:
     return f"""WITH RECURSIVE {_bm25_sql()}, {_capped_sql("capped", PER_SOURCE)}, {_capped_sql("uncapped", LIMIT)},
-      gold AS (SELECT min(doc_id) AS doc_id FROM t WHERE item_code IS NOT NULL GROUP BY upper(trim(item_code))),
+      gold AS ({gold}),
       gaps AS (SELECT gold.doc_id, t.word_count, c.rank AS found_rank, CASE WHEN c.rank IS NOT NULL THEN 'found' WHEN t.word_count < {LEAST_WORDS} THEN 'min_words' WHEN u.rank IS NOT NULL THEN 'per_item' WHEN h.doc_id IS NOT NULL THEN 'rank' ELSE 'vocabulary' END AS outcome
         FROM gold JOIN t USING (doc_id) LEFT JOIN capped c USING (doc_id) LEFT JOIN uncapped u USING (doc_id) LEFT JOIN hit h USING (doc_id))"""
 
@@ -139,6 +166,8 @@ ORACLE = {
     "bm25_capped": f"WITH RECURSIVE {_bm25_sql()}, {_capped_sql('capped', PER_SOURCE)} SELECT * FROM capped",
     "recall_gaps": f"{_recall_sql()} SELECT * FROM gaps",
     "recall_summary": f"{_recall_sql()} SELECT outcome, count(*) AS citations, max(found_rank) AS worst_rank, coalesce({LIMIT} - max(found_rank) < {LIMIT // 10}, false) AS thin FROM gaps GROUP BY outcome",
+    "recall_gaps_by_kind": f"{_recall_sql(_FIRST_OF_KIND)} SELECT * FROM gaps",
+    "recall_summary_by_kind": f"{_recall_sql(_FIRST_OF_KIND)} SELECT outcome, count(*) AS citations, max(found_rank) AS worst_rank, coalesce({LIMIT} - max(found_rank) < {LIMIT // 10}, false) AS thin FROM gaps GROUP BY outcome",
     "prefix_df": f"WITH t AS (SELECT doc_id, unnest({_TOKS}) AS word FROM documents) SELECT term, count(DISTINCT doc_id) AS documents, count(DISTINCT word) AS words, count(*) AS occurrences FROM t JOIN (SELECT unnest([{', '.join(repr(t) for t in TERMS)}]) AS term) ON starts_with(word, term) GROUP BY term",
     "posting_lists": f"WITH t AS (SELECT doc_id, unnest({_TOKS}) AS term FROM documents), p AS (SELECT term, doc_id, count(*) AS tf FROM t GROUP BY ALL) SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, max(tf) AS most FROM p GROUP BY term",
     "stopword_share": f"WITH t AS (SELECT {_TOKS} AS toks FROM documents), w AS (SELECT unnest([{', '.join(repr(w) for w in STOPWORDS)}]) AS word) SELECT word, count(*) FILTER (list_contains(toks, word)) AS documents, round(avg(list_contains(toks, word)::INT), 6) AS share, avg(list_contains(toks, word)::INT) > 0.04 AS ubiquitous FROM t, w GROUP BY word",

@@ -65,3 +65,17 @@ def test_capped_list_is_the_sequential_pass(spark, seed):
     got = capped_distinct(df, [F.col("id")], "grp", "text", 5, 12, batch=1).orderBy("rank")
     assert [r.id for r in got.collect()] == sequential(data, 5, 12)
     assert capped_distinct(df.limit(0), [F.col("id")], "grp", "text", 5, 12).count() == 0
+
+
+def test_citations_of_every_kind_are_looked_for(spark):
+    from rostrum.plans.retrieval import QUERIES
+    from rostrum.session import table
+
+    sf = "/root/testdata/sf0.01"
+    first = {}
+    for r in table(spark, sf, "documents", "doc_id", "item_code", "doc_kind").collect():
+        if r.item_code is not None and r.doc_kind in ("letter", "study_note", "dialogue"):
+            key = (r.item_code.strip().upper(), r.doc_kind)
+            first[key] = min(r.doc_id, first.get(key, r.doc_id))
+    assert len({item for item, _ in first}) < len(first)
+    assert sorted(r.doc_id for r in QUERIES["recall_gaps_by_kind"](spark, sf).collect()) == sorted(first.values())

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.functions.text import normal_title, titles_match
+from rostrum.functions.text import code_parts, normal_title, title_tail, titles_match
 from rostrum.sources.subtitles import duration_fits
 
 
@@ -67,19 +67,61 @@ def reanchor(anchors: DataFrame, passages: DataFrame) -> DataFrame:
     return rows.select("anchor_id", F.when(found.isNotNull(), "live").otherwise("stale").alias("status"), found.alias("live_seq"))
 
 
+#: Parts of place names that a link's title may have alone; letters by which undated titles meet.
+PLACE_WORDS = "brockwood london saanen madras chennai bombay mumbai delhi bangalore rajghat rishi ojai berkeley malibu calcutta kolkata amsterdam ommen gstaad wimbledon".split()
+GRAM = 8
+
+
+def _item_years(year: Column, code: Column) -> Column:
+    """The years of an item: its own, and those its code can mean (two digits of one year, four of two)."""
+    digits = F.regexp_extract(code, r"^[A-Z]{2,3}(\d{2,4})", 1)
+    two = lambda at: F.substring(digits, at, 2).try_cast("int")
+    guessed = F.when(F.length(digits) == 2, F.array(F.when(two(1) > 30, 1900 + two(1)).otherwise(2000 + two(1)))).when(F.length(digits) == 4, F.array(1900 + two(1), 1900 + two(3)))
+    years = F.concat(F.array(year.cast("int"), code_parts(code)["year"].cast("int")), F.coalesce(guessed, F.array().cast("array<int>")))
+    return F.array_distinct(F.filter(years, lambda y: y.between(1900, 2035)))
+
+
+def _link_years(title: Column) -> Column:
+    """The years that a link's title names, also as 61/62."""
+    whole = F.transform(F.regexp_extract_all(title, F.lit(r"\b((?:19|20)\d{2})\b"), 1), lambda y: y.cast("int"))
+    pair = lambda i: F.transform(F.regexp_extract_all(title, F.lit(r"\b(\d{2})/(\d{2})\b"), i), lambda y: 1900 + y.cast("int"))
+    return F.array_distinct(F.filter(F.concat(whole, pair(1), pair(2)), lambda y: y.between(1900, 2035)))
+
+
+def _grams(text: Column) -> Column:
+    """All runs of up to GRAM letters of a text, and the empty one."""
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda at: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.substring(text, at, n))))
+    return F.array_distinct(F.concat(F.array(F.lit("")), runs))
+
+
 def link_scores(items: DataFrame, links: DataFrame) -> DataFrame:
     """item_id, link_id, score for pairs of one block: 1.0 if the titles match, 0.88 if the event's number is named.
 
-    Candidates share a year, named in the link's title, or have none; so only pairs
-    of one year are formed, never all pairs.
+    `items` has item_id, title, event_label, event_number and year, and may have
+    code and place_name. An item of known years (its own and its code's) meets the
+    links that name one of them; one without meets any link, by the first letters
+    of the titles and events that occur in each other, so never all pairs are
+    formed. A link whose title does not name the item's place scores 0; a title
+    that is only a numbered question meeting matches none.
     """
-    years = F.regexp_extract_all("link_title", F.lit(r"\b(19\d\d|20[0-3]\d)\b"), 1)
-    dated = links.select("link_id", "link_title", F.explode(F.transform(F.array_distinct(years), lambda y: y.cast("int"))).alias("year"))
-    pairs = items.select("item_id", "title", "event_label", "event_number", "year").join(dated, "year")
-    matched = titles_match("title", "link_title")
+    optional = lambda c: (F.col(c) if c in items.columns else F.lit(None)).cast("string")
+    items = items.select("item_id", "title", "event_label", "event_number", optional("place_name").alias("place_name"), _item_years(F.col("year"), optional("code")).alias("years"))
     phrase = normal_title(F.concat_ws(" ", "event_label", "event_number"))
+    dated = links.select("link_id", "link_title", F.explode(_link_years(F.col("link_title"))).alias("year"))
+    by_year = items.filter(F.size("years") > 0).select("*", F.explode("years").alias("year")).join(dated, "year").drop("year")
+    undated = items.filter(F.size("years") == 0)
+    head = lambda c: F.substring(c, 1, GRAM)
+    wanted = F.filter(F.array(head(normal_title("title")), head(phrase)), lambda k: k != "")
+    by_item = undated.select("*", F.explode(F.array_distinct(wanted)).alias("key")).join(links.select("link_id", "link_title", F.explode(_grams(normal_title("link_title"))).alias("key")), "key")
+    by_link = undated.select("*", F.explode(_grams(normal_title("title"))).alias("key")).join(links.select("link_id", "link_title", head(title_tail("link_title")).alias("key")), "key")
+    pairs = by_year.unionByName(by_item.drop("key")).unionByName(by_link.drop("key"))
+    words = F.array(normal_title(F.substring_index("place_name", ",", 1)), *(F.when(F.contains(F.lower("place_name"), F.lit(w)), F.lit(w)) for w in PLACE_WORDS))
+    keys = F.filter(words, lambda w: F.length(w) >= 4)
+    placed = (F.size(keys) == 0) | F.exists(keys, lambda w: F.contains(normal_title("link_title"), w))
+    generic = normal_title("title").rlike(r"^\d+(?:st|nd|rd|th)\s+question\s+and\s+answer\s+meeting$")
+    matched = titles_match("title", "link_title") & ~generic
     numbered = F.contains(normal_title("link_title"), phrase) & (phrase != "")
-    score = F.when(matched, 1.0).when(numbered, 0.88).otherwise(0.0)
+    score = F.when(~placed, 0.0).when(matched, 1.0).when(numbered, 0.88).otherwise(0.0)
     return pairs.groupBy("item_id", "link_id").agg(F.max(score).alias("score"))
 
 

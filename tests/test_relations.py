@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rostrum.functions.text import normal_title, titles_match
 from rostrum.operators.graph import connected, dead_links
 from rostrum.operators.joins import band_join, close_calls, greedy_assignment, link_scores, misattributed, nearest, reanchor
 from rostrum.operators.sampling import allocate, stratified_sample
@@ -46,6 +47,28 @@ def test_link_scores(spark, rows):
     assert rows(link_scores(items, links)) == [(1, 7, 1.0), (2, 8, 0.88)]
 
 
+def test_link_scores_of_undated_items_places_and_generic_titles(spark, rows):
+    schema = "item_id bigint, title string, event_label string, event_number string, year int, code string, place_name string"
+    data = [
+        (1, "The quiet mind of man", None, None, None, None, None), (2, "Order", "Public Talk", "3", None, "BW61T3", "Brenwick, Oshmar"), (3, "Order", "Public Talk", "3", None, "BW6162T3", "Tarnholm"),
+        (4, "2nd Question and Answer Meeting", "Q", "9", 1961, None, None), (5, "Sorrow", "Small Talk", "12", None, None, None), (6, "A long life of fear and order", None, None, None, None, None),
+    ]
+    links = spark.createDataFrame([(7, "No year - The quiet mind of man"), (8, "Public Talk 3 Brenwick 1961"), (9, "2nd Question and Answer Meeting 1961"), (10, "Small Talk 12, Brenwick 1970"), (11, "Public Talk 3, Tarnholm 61/62"), (12, "Audio - life of fear")], "link_id bigint, link_title string")
+    got = [r for r in rows(link_scores(spark.createDataFrame(data, schema), links)) if r[2] > 0]
+    assert got == [(1, 7, 1.0), (2, 8, 0.88), (3, 11, 0.88), (5, 10, 0.88), (6, 12, 1.0)]
+
+
+def test_undated_link_scores_against_all_pairs(spark, rows):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("ab -") for _ in range(rng.randrange(0, 14)))
+    items = spark.createDataFrame([(i, word(), word() or None, None, None) for i in range(60)], "item_id bigint, title string, event_label string, event_number string, year int")
+    links = spark.createDataFrame([(i, word() + rng.choice(["", " - "]) + word()) for i in range(60)], "link_id bigint, link_title string")
+    phrase = normal_title(F.concat_ws(" ", "event_label", "event_number"))
+    score = F.when(titles_match("title", "link_title"), 1.0).when(F.contains(normal_title("link_title"), phrase) & (phrase != ""), 0.88)
+    want = rows(items.crossJoin(links).select("item_id", "link_id", score.alias("score")).filter("score > 0"))
+    assert len(want) > 50 and rows(link_scores(items, links).filter("score > 0")) == want
+
+
 def test_misattributed(spark, rows):
     claims = spark.createDataFrame([("A", "f", 3600.0, 61), ("B", "f", 3600.0, 30), ("C", "f", 3600.0, None), ("D", "g", 60.0, 1)], "code string, path string, actual_secs double, expected_minutes int")
     assert rows(misattributed(claims)) == [("B", "f", "A"), ("C", "f", "A")]

@@ -52,8 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share.
 
-    Only where it is unset, as in tests on one machine, a temporary folder is
-    set in its place.
+    Only where it is unset and the master is local, as in tests on one machine, a
+    temporary folder is set in its place; on a cluster that is an error.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
@@ -61,6 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="rostrum-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
         path = f"file://{path}"
@@ -102,6 +104,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def size_in_bytes(df: DataFrame) -> int:
+    """What the optimizer takes a table's size to be: of files read back, their size on disk."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def parts_for(df: DataFrame, bytes_each: int, most: int = 60_000) -> int:
+    """Parts into which a table's rows are dealt, so that a part holds about `bytes_each` at every size of the table; at least one a shuffle partition."""
+    return min(max(partitions(df.sparkSession), -(-size_in_bytes(df) // bytes_each)), most)
+
+
 def sql_list(values: list[str]) -> str:
     quoted = (v.replace("'", "''") for v in values)
     return ", ".join(f"'{v}'" for v in quoted)

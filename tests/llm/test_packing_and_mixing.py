@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostrum.llm.mixing import mix, mix_shares, share_out
-from rostrum.llm.packing import _content, best_fit, containers, knapsack, make_plan, pack
+from rostrum.llm.packing import GAP, Knapsack, best_fit, configuration_program, containers, make_plan, pack
 from rostrum.llm.tokens import default_path, encoder, token_counts
 
 SIZES = "id bigint, tokens bigint, bucket string, container_id string"
@@ -18,13 +18,39 @@ def test_knapsack_against_brute_force():
     rng = random.Random(1)
     for _ in range(20):
         lengths = np.array(sorted(rng.sample(range(1, 12), 4)))
+        most = np.array([rng.randint(1, 5) for _ in lengths])
         prices = np.array([rng.random() for _ in lengths])
-        best, pick = knapsack(lengths, prices, 20)
+        table = Knapsack(lengths, most, prices, 20, np.array(rng.sample(range(4), 4)))
         for size in (0, 7, 20):
-            want = max((float(np.dot(c, prices)) for c in product(*(range(size // x + 1) for x in lengths)) if np.dot(c, lengths) <= size), default=0)
-            content = _content(pick, lengths, size)
-            assert best[size] == pytest.approx(want)
+            want = max((float(np.dot(c, prices)) for c in product(*(range(n + 1) for n in most)) if np.dot(c, lengths) <= size), default=0)
+            content = table.content(size)
+            assert table.best[size] == pytest.approx(want)
             assert sum(prices[i] * n for i, n in content.items()) == pytest.approx(want) and sum(lengths[i] * n for i, n in content.items()) <= size
+            assert all(n <= most[i] for i, n in content.items())
+
+
+def test_the_program_covers_all_within_its_gap():
+    rng = np.random.default_rng(5)
+    # lengths that two of fill a container unevenly; lengths above half; many lengths
+    for lengths, counts, capacity in [(np.array([51, 27, 26, 23]), np.array([600, 600, 600, 1200]), 100), (np.arange(60, 101), rng.integers(1, 50, 41), 100), (np.arange(20, 900, 7), rng.integers(1, 900, 126), 2048)]:
+        found = configuration_program(lengths, counts, capacity)
+        covered = np.zeros(len(lengths))
+        for content, amount in found.amounts.items():
+            assert sum(int(lengths[i]) * n for i, n in content) <= capacity
+            for i, n in content:
+                covered[i] += n * amount
+        assert covered == pytest.approx(counts) and sum(found.amounts.values()) == pytest.approx(found.value)
+        assert found.bound * (1 - 1e-9) <= found.value <= (1 + GAP) * found.bound
+        # the prices prove the bound
+        assert Knapsack(lengths, counts, found.prices, capacity, np.arange(len(lengths))).best[capacity] <= 1 + 1e-9
+        assert float(found.prices @ counts) == pytest.approx(found.bound)
+
+
+def test_where_best_fit_loses():
+    lengths, counts = np.array([51, 27, 26, 23]), np.array([600, 600, 600, 1200])
+    plan = make_plan(lengths, counts, 100)
+    assert sum(n for _, n in best_fit(lengths, counts.copy(), 100)) == 1100
+    assert plan.containers == 900 == round(plan.bound) and sum(plan.origins) == 900 and plan.origins[2] < 180
 
 
 @pytest.mark.parametrize("seed", range(5))
@@ -48,7 +74,7 @@ def test_pack_rows(spark):
     rng = random.Random(3)
     rows = [(i, 700 if i % 3 == 0 else rng.choice([1, 30, 500, 2048, rng.randrange(1, 2500)]), "b", "c") for i in range(2000)]
     rows += [(5000, 2048 * 3 + 5, "", ""), (5001, 0, "", ""), (5002, None, "", ""), (None, 5, "", ""), rows[0]]
-    got = pack(spark.createDataFrame(rows, SIZES), "id", "tokens").collect()
+    got = pack(spark.createDataFrame(rows, SIZES), "id", "tokens").rows.collect()
     sizes = {i: n or 0 for i, n, *_ in rows if i is not None}
     assert {r.id for r in got} == set(sizes)
     filled = {}
@@ -68,7 +94,7 @@ def test_pack_rows(spark):
 
 def test_pack_empty(spark):
     df = spark.createDataFrame([], SIZES)
-    assert pack(df, "id", "tokens").count() == 0 and containers(pack(df, "id", "tokens")).count() == 0
+    assert pack(df, "id", "tokens").rows.count() == 0 and containers(pack(df, "id", "tokens").rows).count() == 0
 
 
 def test_token_counts_are_the_encoders(spark):

@@ -1,14 +1,23 @@
 """Splitting oversized items at natural boundaries.
 
-A text is read in byte ranges. A worker owns the words that start in its range;
-halos before and after it, widened as far as the words at its edges need, show
-it whole words and what follows them. Each range gives a small boundary table:
-its words and the stretches between natural boundaries before, within and after.
-Tables of neighbouring ranges are stitched by an associative rule, and prefix
-sums of their word and piece counts give every range its place. Pieces are then
-planned from anchor to anchor (an anchor is the first natural boundary in a
-range) and cut out by offset, so no worker holds more than two ranges of a text,
-and a file of any size is cut in parallel.
+A text is read in byte ranges, each with halos before and after it, so that no
+worker needs a whole text. The steps are the same for texts of a table, which are
+cut into slices of a range and its halos, and for files, which are read range by
+range:
+
+1. Scan: a worker owns the words that start in its range, finds where natural
+   boundaries follow them, and gives a small boundary table: its number of words
+   and the stretches between natural boundaries before, within and after. Where a
+   halo proves too short for the words at an edge, the range is scanned again with
+   a wider one.
+2. Stitch: tables of neighbouring ranges are joined by an associative rule, which
+   gives a text's words and its longest stretch.
+3. Plan: where a piece ends depends only on where the piece before it ended. For
+   every place at which the first cut within a range can lie (fewer than the limit)
+   a range tells where the first cut in the next range is and how many pieces lie
+   between. Read in order, these tables give each range its first cut, and prefix
+   sums of words and pieces its place. So pieces don't depend on the ranges.
+4. Emit: each range cuts the pieces that begin at cuts within it, by byte offset.
 """
 
 from __future__ import annotations
@@ -19,11 +28,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostrum.session import materialize
+
 LIMIT, OVERLAP = 260, 25
 RANGE_BYTES = 1 << 20
 HALO = 256
@@ -162,112 +172,234 @@ class Stretches:
         return max(self.head, self.longest, self.tail)
 
 
-def plan_pieces(natural: np.ndarray, limit: int, overlap: int, continued: bool) -> list[tuple[int, int, bool]]:
-    """(first word, end, cut at a natural boundary) of each piece of a span; a continued span's first piece starts `overlap` words before it."""
+def next_cuts(natural: np.ndarray, first: int, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """For a cut before each word: the cut that ends the piece which goes on from there, and whether it is at a natural boundary.
+
+    `natural` are the boundaries of consecutive words up to the end of the text, or
+    as far as needed; `first` tells that the first of them begins the text.
+    """
     n = len(natural)
     bounds = np.flatnonzero(natural) + 1
+    at = np.arange(n + 1)
+    start = at - overlap
+    if first:
+        start[0] = 0
+    reach = np.minimum(start + limit, n)
+    i = np.searchsorted(bounds, reach, side="right") - 1
+    fit = bounds[np.maximum(i, 0)] if len(bounds) else np.zeros(n + 1, np.int64)
+    # a first piece within the overlap would lie wholly in the second
+    whole = (i >= 0) & (fit > (np.maximum(at, overlap) if first else at)) & (fit <= reach)
+    return np.where(whole, fit, reach), whole | (reach == n)
+
+
+def plan_pieces(natural: np.ndarray, limit: int, overlap: int) -> list[tuple[int, int, bool]]:
+    """(first word, end, cut at a natural boundary) of each piece of a text."""
+    ends, whole = next_cuts(natural, True, limit, overlap)
     out: list[tuple[int, int, bool]] = []
-    covered, start = 0, -overlap if continued else 0
-    while covered < n:
-        end = min(n, start + limit)
-        whole = end == n
-        if not whole:
-            i = int(np.searchsorted(bounds, end, side="right")) - 1
-            if i >= 0 and bounds[i] > max(covered, start + overlap):
-                end = int(bounds[i])
-                whole = True
-            else:
-                whole = False
-        out.append((start, end, whole))
-        covered = end
-        start = end - overlap
+    at = 0
+    while at < len(natural):
+        out.append((max(0, at - overlap) if at else 0, int(ends[at]), bool(whole[at])))
+        at = int(ends[at])
     return out
 
 
-def anchor_of(words: Words) -> int:
-    """Index of the first word of a range after a natural boundary within it; without one, its first word."""
-    at = np.flatnonzero(words.natural[:-1])
-    return int(at[0]) + 1 if len(at) else 0
+class Short(Exception):
+    """A slice ends before what is asked of it."""
 
 
-def span_of(read: Reader, size: int, low: int, range_bytes: int) -> Words:
-    """The words from this range's anchor to the next range's."""
-    own = scan_range(read, size, low, min(size, low + range_bytes))
-    first = anchor_of(own) if low > 0 else 0
-    parts = [Words(own.start[first:], own.end[first:], own.natural[first:])]
-    at = low + range_bytes
-    while at < size:
-        more = scan_range(read, size, at, min(size, at + range_bytes))
-        if len(more.start):
-            k = anchor_of(more)
-            parts.append(Words(more.start[:k], more.end[:k], more.natural[:k]))
-            break
-        at += range_bytes  # a range within one word
-    return Words(*(np.concatenate([getattr(p, x) for p in parts]) for x in ("start", "end", "natural")))
+def _words_after(read: Reader, size: int, offset: int, count: int) -> Words:
+    """The first `count` words that start at or after an offset, or all there are."""
+    reach = 16 * count
+    while True:
+        found = scan_range(read, size, offset, min(size, offset + reach))
+        if len(found.start) >= count or offset + reach >= size:
+            return Words(found.start[:count], found.end[:count], found.natural[:count])
+        reach *= 4
 
 
 def words_before(read: Reader, size: int, offset: int, count: int) -> np.ndarray:
     """Start offsets of the last `count` words that start before an offset."""
-    reach = 64 * max(count, 1)
+    reach = 16 * max(count, 1)
     while True:
         low = max(0, offset - reach)
         found = scan_range(read, size, low, offset).start
-        if low == 0 or len(found) > count:
+        if low == 0 or len(found) >= count:
             return found[-count:] if count else found[:0]
         reach *= 4
 
 
-def cut(read: Reader, size: int, low: int, range_bytes: int, limit: int, overlap: int) -> list[tuple[int, int, int, int, bool]]:
-    """Pieces of the span of one range: start word relative to the span, words, byte start, byte end, natural."""
-    words = span_of(read, size, low, range_bytes)
-    if not len(words.start):
+@dataclass
+class Owned:
+    """A range's words and as many after it as its last pieces may reach."""
+
+    own: int
+    words: Words
+
+    @classmethod
+    def read(cls, read: Reader, size: int, low: int, high: int, limit: int) -> Owned:
+        own = scan_range(read, size, low, high)
+        more = _words_after(read, size, high, limit) if high < size else Words(own.start[:0], own.end[:0], own.natural[:0])
+        return cls(len(own.start), Words(*(np.concatenate([getattr(w, x) for w in (own, more)]) for x in ("start", "end", "natural"))))
+
+
+def hand_over(owned: Owned, first: bool, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the first cut at each of the range's first words (0 only, in a text's first range): the first cut in the next range, and the pieces up to it."""
+    entries = np.arange(1 if first else limit)
+    ends, _ = next_cuts(owned.words.natural, first, limit, overlap)
+    pieces = np.zeros(len(entries), np.int64)
+    at = entries.copy()
+    while (going := at < owned.own).any():
+        at[going] = ends[at[going]]
+        pieces[going] += 1
+    return at - owned.own, pieces
+
+
+def cut(read: Reader, size: int, owned: Owned, first: bool, entry: int, limit: int, overlap: int) -> list[tuple[int, int, int, int, bool]]:
+    """The pieces that begin at cuts within the range: first word (relative to the range), words, byte start, byte end, natural."""
+    words = owned.words
+    if entry >= owned.own:
         return []
-    back = words_before(read, size, int(words.start[0]), overlap) if low > 0 else words.start[:0]
-    overlap_here = len(back)
-    out = []
-    for start, end, natural in plan_pieces(words.natural, limit, overlap, low > 0):
-        begin = max(start, -overlap_here)
-        byte = int(words.start[begin] if begin >= 0 else back[overlap_here + begin])
-        out.append((begin, end - begin, byte, int(words.end[end - 1]), natural))
+    back = words_before(read, size, int(words.start[0]), overlap) if not first and entry < overlap else words.start[:0]
+    ends, whole = next_cuts(words.natural, first, limit, overlap)
+    out, at = [], entry
+    while at < owned.own:
+        begin = 0 if first and at == 0 else max(at - overlap, -len(back))
+        byte = int(words.start[begin]) if begin >= 0 else int(back[begin])
+        end = int(ends[at])
+        out.append((begin, end - begin, byte, int(words.end[end - 1]), bool(whole[at])))
+        at = end
     return out
 
 
+# -- steps that texts and files share ------------------------------------------------
+
+#: What identifies a text, a range of it, and its boundary table.
+TABLES = pa.schema([
+    ("id", pa.int64()), ("version", pa.int64()), ("low", pa.int64()), ("size", pa.int64()), ("words", pa.int64()), ("head", pa.int64()), ("longest", pa.int64()),
+    ("tail", pa.int64()), ("closed", pa.bool_()), ("exits", pa.list_(pa.int32())), ("pieces", pa.list_(pa.int32())), ("short", pa.bool_()),
+])
+TABLES_SQL = "id bigint, version bigint, low bigint, size bigint, words bigint, head bigint, longest bigint, tail bigint, closed boolean, exits array<int>, pieces array<int>, short boolean"
+PLACES = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("low", pa.int64()), ("entry", pa.int32()), ("word_base", pa.int64()), ("piece_base", pa.int64())])
+PLACES_SQL = "id bigint, version bigint, low bigint, entry int, word_base bigint, piece_base bigint"
+TOTALS = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("words", pa.int64()), ("most", pa.int64()), ("pieces", pa.int64())])
+TOTALS_SQL = "id bigint, version bigint, words bigint, most bigint, pieces bigint"
+
+
+def _table_row(read: Reader, size: int, low: int, range_bytes: int, limit: int, overlap: int | None) -> dict:
+    """The boundary table of a range; with an overlap, also where its pieces lead."""
+    high = min(size, low + range_bytes)
+    if overlap is None:
+        found = Stretches.of(scan_range(read, size, low, high).natural)
+        exits = pieces = None
+    else:
+        owned = Owned.read(read, size, low, high, limit)
+        found = Stretches.of(owned.words.natural[: owned.own])
+        exits, pieces = (x.tolist() for x in hand_over(owned, low == 0, limit, overlap))
+    return {"words": found.words, "head": found.head, "longest": found.longest, "tail": found.tail, "closed": found.closed, "exits": exits, "pieces": pieces, "short": False}
+
+
+def _stitch(limit: int, places: bool):
+    """Runs over boundary tables in order of text and range: a row per text of more than `limit` words, or the place of each of its ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = before = None
+        total, entry, pieces = Stretches(0, 0, 0, 0, False), 0, 0
+        for b in batches:
+            out: list[dict] = []
+            for r in b.to_pylist():
+                if (r["id"], r["version"]) != text:
+                    if not places and text is not None and total.words > limit:
+                        out.append({"id": text[0], "version": text[1], "words": total.words, "most": total.most(), "pieces": pieces})
+                    text, before = (r["id"], r["version"]), None
+                    total, entry, pieces = Stretches(0, 0, 0, 0, False), 0, 0
+                if r["low"] == before:
+                    continue  # a copy of the row
+                before = r["low"]
+                if places:
+                    out.append({"id": r["id"], "version": r["version"], "low": r["low"], "entry": entry, "word_base": total.words, "piece_base": pieces})
+                total = total + Stretches(r["words"], r["head"], r["longest"], r["tail"], r["closed"])
+                if r["exits"] is not None:
+                    entry, pieces = r["exits"][entry], pieces + r["pieces"][entry]
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=PLACES if places else TOTALS)
+        if not places and text is not None and total.words > limit:
+            yield pa.RecordBatch.from_pylist([{"id": text[0], "version": text[1], "words": total.words, "most": total.most(), "pieces": pieces}], schema=TOTALS)
+
+    return run
+
+
+def _in_order(tables: DataFrame) -> DataFrame:
+    """Boundary tables of a text one after the other: small rows, streamed."""
+    return tables.repartition("id", "version").sortWithinPartitions("id", "version", "low")
+
+
+def totals(tables: DataFrame, limit: int) -> DataFrame:
+    return _in_order(tables).mapInArrow(_stitch(limit, False), TOTALS_SQL)
+
+
+def places(tables: DataFrame, limit: int) -> DataFrame:
+    return _in_order(tables).mapInArrow(_stitch(limit, True), PLACES_SQL)
+
+
+def _kind(most: Column | str, limit: int) -> Column:
+    return F.when(F.col(most) <= limit, "natural").otherwise("forced")
+
+
 # -- texts of a table ---------------------------------------------------------------
 
 PIECES = "id bigint, piece int, pieces int, first_word bigint, words int, all_words bigint, start_s double, end_s double, cut_kind string, text_kind string, text string"
 
 
-def _reader(data: bytes) -> Reader:
-    return lambda offset, length: data[offset : offset + length]
-
+def _slices(rows: DataFrame, range_bytes: int, before: int, after: int, *more: str) -> DataFrame:
+    """id, version, size, low, from, data: the ranges of each text with their halos. A text of one range is one slice."""
+    texts = rows.select("id", F.xxhash64("text").alias("version"), *more, F.encode("text", "utf-8").alias("whole"))
+    size = F.octet_length("whole").cast("bigint")
+    texts = texts.select("id", "version", *more, "whole", size.alias("size"), F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1, F.lit(range_bytes).cast("bigint"))).alias("low"))
+    begin = F.greatest(F.col("low") - before, F.lit(0))
+    data = F.expr(f"substring(whole, cast(greatest(low - {before}, 0) + 1 as int), cast({range_bytes} + {after} + least(low, {before}) as int))")
+    return texts.select("id", "version", *more, "size", "low", begin.alias("from"), data.alias("data"))
 
-def _ranges(size: int, range_bytes: int) -> range:
-    return range(0, size, range_bytes)
 
+def _slice_reader(data: bytes, begin: int, size: int) -> Reader:
+    def read(offset: int, length: int) -> bytes:
+        if offset < begin or min(size, offset + length) > begin + len(data):
+            raise Short
+        return data[offset - begin : offset - begin + length]
 
-def stretches_of(data: bytes, range_bytes: int) -> Stretches:
-    total = Stretches(0, 0, 0, 0, False)
-    for low in _ranges(len(data), range_bytes):
-        total = total + Stretches.of(scan_range(_reader(data), len(data), low, min(len(data), low + range_bytes)).natural)
-    return total
+    return read
 
 
-def _measure(limit: int, range_bytes: int):
+def _scan(limit: int, range_bytes: int, overlap: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, kinds, counts = [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found = stretches_of(text.as_buffer().to_pybytes(), range_bytes)
-                if found.words > limit:
-                    ids.append(i)
-                    kinds.append("natural" if found.most() <= limit else "forced")
-                    counts.append(found.words)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(counts, pa.int64())], names=["id", "cut_kind", "all_words"])
+            out = []
+            ids, versions, sizes, lows, begins = (b.column(i).to_pylist() for i in range(5))
+            for i, version, size, low, begin, data in zip(ids, versions, sizes, lows, begins, b.column(5), strict=True):
+                read = _slice_reader(data.as_buffer().to_pybytes(), begin, size)
+                key = {"id": i, "version": version, "low": low, "size": size}
+                try:
+                    row = _table_row(read, size, low, range_bytes, limit, overlap)
+                except Short:
+                    out.append(key | {"words": 0, "short": True})
+                    continue
+                if size > range_bytes or row["words"] > limit:
+                    out.append(key | row)
+            yield pa.RecordBatch.from_pylist(out, schema=TABLES)
 
     return run
 
 
-def _long_rows(df: DataFrame, id_col: str, text_col: str, limit: int, *more: str) -> DataFrame:
+def _scanned(rows: DataFrame, limit: int, range_bytes: int, overlap: int | None, name: str) -> tuple[DataFrame, int]:
+    """The boundary tables of all ranges, and the halo that was wide enough for all."""
+    halo = HALO if overlap is None else 32 * limit + 4 * HALO
+    while True:
+        tables = materialize(_slices(rows, range_bytes, halo, halo).mapInArrow(_scan(limit, range_bytes, overlap), TABLES_SQL), name)
+        if tables.filter("short").isEmpty():
+            return tables, halo
+        halo *= 16  # a text has words or blanks longer than the halo
+
+
+def _long_rows(df: DataFrame, id_col: str, text_col: str, limit: int, *more: Column) -> DataFrame:
     """Rows that can have more than `limit` words: each needs a character and a blank."""
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), *more)
     return rows.filter(f"id is not null and length(text) > {2 * limit}")
@@ -279,31 +411,26 @@ def oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, ran
     Defined cases: null and empty texts and rows without an id are no items.
     Repeated rows count once. Other columns are ignored.
     """
-    rows = _long_rows(df, id_col, text_col, limit)
-    return rows.mapInArrow(_measure(limit, range_bytes), "id bigint, cut_kind string, all_words bigint").distinct()
+    tables, _ = _scanned(_long_rows(df, id_col, text_col, limit), limit, range_bytes, None, "boundaries")
+    return totals(tables, limit).select("id", _kind("most", limit).alias("cut_kind"), F.col("words").alias("all_words")).distinct()
+
 
+def _emit(limit: int, overlap: int, range_bytes: int):
+    types = [("id", pa.int64()), ("piece", pa.int32()), ("pieces", pa.int32()), ("first_word", pa.int64()), ("words", pa.int32()), ("all_words", pa.int64()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("cut_kind", pa.string()), ("text_kind", pa.string()), ("text", pa.string())]
 
-def _split(limit: int, overlap: int, range_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for r in b.to_pylist():
-                data = r["text"].encode()
-                found = stretches_of(data, range_bytes)
-                if found.words <= limit:
-                    continue
-                pieces, base = [], 0
-                for low in _ranges(len(data), range_bytes):
-                    span = cut(_reader(data), len(data), low, range_bytes, limit, overlap)
-                    pieces += [(base + s, w, x, y, natural) for s, w, x, y, natural in span]
-                    base = pieces[-1][0] + pieces[-1][1] if pieces else 0
-                t0, t1 = r["t_start"], r["t_end"]
+                size, low = r["size"], r["low"]
+                read = _slice_reader(r["data"], r["from"], size)
+                owned = Owned.read(read, size, low, min(size, low + range_bytes), limit)
+                t0, t1, total = r["t_start"], r["t_end"], r["all_words"]
                 timed = t0 is not None and t1 is not None and t1 >= t0
-                at = lambda word: t0 + (t1 - t0) * word / found.words if timed else None  # noqa: B023, E731
-                kind = "natural" if found.most() <= limit else "forced"
-                for k, (first, words, x, y, natural) in enumerate(pieces):
-                    rows.append({"id": r["id"], "piece": k + 1, "pieces": len(pieces), "first_word": first, "words": words, "all_words": found.words, "start_s": at(first), "end_s": at(first + words), "cut_kind": "natural" if natural else "forced", "text_kind": kind, "text": data[x:y].decode()})
-            types = [("id", pa.int64()), ("piece", pa.int32()), ("pieces", pa.int32()), ("first_word", pa.int64()), ("words", pa.int32()), ("all_words", pa.int64()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("cut_kind", pa.string()), ("text_kind", pa.string()), ("text", pa.string())]
+                at = lambda word: t0 + (t1 - t0) * word / total if timed else None  # noqa: B023, E731
+                for k, (begin, words, x, y, natural) in enumerate(cut(read, size, owned, low == 0, r["entry"], limit, overlap)):
+                    first = r["word_base"] + begin
+                    rows.append({"id": r["id"], "piece": r["piece_base"] + k + 1, "pieces": r["all_pieces"], "first_word": first, "words": words, "all_words": total, "start_s": at(first), "end_s": at(first + words), "cut_kind": "natural" if natural else "forced", "text_kind": r["text_kind"], "text": read(x, y - x).decode()})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(types))
 
     return run
@@ -322,19 +449,27 @@ def split_texts(df: DataFrame, id_col: str, text_col: str, start_col: str, end_c
         raise ValueError("overlap must be at least 0 and less than limit")
     rows = _long_rows(df, id_col, text_col, limit, F.col(start_col).cast("double").alias("t_start"), F.col(end_col).cast("double").alias("t_end"))
     rows = rows.groupBy("id").agg(F.min(F.struct("text", "t_start", "t_end")).alias("x")).select("id", "x.*")
-    return rows.mapInArrow(_split(limit, overlap, range_bytes), PIECES)
+    rows = materialize(rows, "long-texts")
+    tables, halo = _scanned(rows, limit, range_bytes, overlap, "boundaries")
+    sums = totals(tables, limit).select("id", "version", F.col("words").alias("all_words"), F.col("pieces").cast("int").alias("all_pieces"), _kind("most", limit).alias("text_kind"))
+    placed = places(tables, limit).join(sums, ["id", "version"])
+    slices = _slices(rows, range_bytes, halo, halo, "t_start", "t_end").join(placed, ["id", "version", "low"])
+    return slices.mapInArrow(_emit(limit, overlap, range_bytes), PIECES)
 
 
 # -- giant files -------------------------------------------------------------------------
 
 
 def _file_reader(path: str) -> Reader:
-    name = re.sub(r"^file:/*", "/", path)
+    """Reads parts of a file: by Arrow's file systems where the path names one (file, hdfs, s3, gs), else from the local tree."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path) if ":" in path else f"file://{path}")
+    file = system.open_input_file(name)
 
     def read(offset: int, length: int) -> bytes:
-        with open(name, "rb") as f:
-            f.seek(offset)
-            return f.read(length)
+        file.seek(offset)
+        return file.read(length)
 
     return read
 
@@ -342,35 +477,34 @@ def _file_reader(path: str) -> Reader:
 def split_files(spark: SparkSession, glob: str, limit: int = LIMIT, overlap: int = OVERLAP, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """path, piece, first_word, words, cut_kind and text of the pieces of large text files, read in byte ranges.
 
-    Files must lie where every executor can open them. Pass one makes the boundary
-    tables, pass two cuts the pieces; between them only one small row per range is
-    moved. Empty files have no pieces.
+    The files may lie on any file system that Spark and Arrow both read. Pass one
+    makes the boundary tables, pass two cuts the pieces; between them only one small
+    row per range is moved. Empty files have no pieces.
     """
-    files = spark.read.format("binaryFile").load(glob).select("path", "length")
-    ranges = files.filter("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))).alias("low"))
+    if not 0 <= overlap < limit:
+        raise ValueError("overlap must be at least 0 and less than limit")
+    files = spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("size"), F.xxhash64("path").alias("id"), F.xxhash64(F.reverse("path")).alias("version"))
+    ranges = files.filter("size > 0").select("id", "version", "path", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(range_bytes).cast("bigint"))).alias("low"))
     ranges = ranges.repartition("path", "low")
 
-    def table(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for path, size, low in zip(frame["path"], frame["length"], frame["low"], strict=True):
-                words = span_of(_file_reader(path), int(size), int(low), range_bytes)
-                out.append((path, size, low, len(words.start), len(plan_pieces(words.natural, limit, overlap, low > 0))))
-            yield pd.DataFrame(out, columns=["path", "length", "low", "words", "pieces"])
-
-    tables = ranges.mapInPandas(table, "path string, length bigint, low bigint, words bigint, pieces bigint")
-    before = Window.partitionBy("path").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
-    placed = tables.select("path", "length", "low", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("word_base"), F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("piece_base"))
-    placed = placed.repartition("path", "low")
-
-    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path, size, low, word_base, piece_base in frame.itertuples(index=False):
-                read = _file_reader(path)
-                out = [
-                    (path, piece_base + k + 1, word_base + s, w, "natural" if natural else "forced", read(x, y - x).decode(errors="replace"))
-                    for k, (s, w, x, y, natural) in enumerate(cut(read, int(size), int(low), range_bytes, limit, overlap))
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [{k: r[k] for k in ("id", "version", "low", "size")} | _table_row(_file_reader(r["path"]), r["size"], r["low"], range_bytes, limit, overlap) for r in b.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=TABLES)
+
+    tables = materialize(ranges.mapInArrow(scan, TABLES_SQL), "file-boundaries")
+    placed = ranges.join(places(tables, limit), ["id", "version", "low"]).repartition("path", "low")
+    types = pa.schema([("path", pa.string()), ("piece", pa.int64()), ("first_word", pa.int64()), ("words", pa.int32()), ("cut_kind", pa.string()), ("text", pa.string())])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                read, size, low = _file_reader(r["path"]), r["size"], r["low"]
+                owned = Owned.read(read, size, low, min(size, low + range_bytes), limit)
+                rows = [
+                    {"path": r["path"], "piece": r["piece_base"] + k + 1, "first_word": r["word_base"] + begin, "words": words, "cut_kind": "natural" if natural else "forced", "text": read(x, y - x).decode(errors="replace")}
+                    for k, (begin, words, x, y, natural) in enumerate(cut(read, size, owned, low == 0, r["entry"], limit, overlap))
                 ]
-                yield pd.DataFrame(out, columns=["path", "piece", "first_word", "words", "cut_kind", "text"])
+                yield pa.RecordBatch.from_pylist(rows, schema=types)
 
-    return placed.mapInPandas(emit, "path string, piece bigint, first_word bigint, words int, cut_kind string, text string")
+    return placed.mapInArrow(emit, "path string, piece bigint, first_word bigint, words int, cut_kind string, text string")

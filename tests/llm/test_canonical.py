@@ -54,10 +54,27 @@ def test_the_automaton_finds_what_brute_force_finds():
             elif i + 1 < len(word):
                 word[i], word[i + 1] = word[i + 1], word[i]
         word = "".join(word)
-        want = {(d, f) for f in forms if (d := damerau(word, f)) <= allowed(len(f))}
-        assert set(trie.search(word)) == (want if word else set())
-    machine = LevenshteinAutomaton("ab")
-    assert machine.distance(machine.step(machine.step(machine.start(), "b"), "a")) == 1
+        want = {f: d for f in forms if (d := damerau(word, f)) <= allowed(len(f))}
+        assert trie.search(word) == (want if word else {})
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2])
+def test_the_automaton_gives_true_distances(edits):
+    machine = LevenshteinAutomaton(edits)
+    rng = random.Random(edits)
+    for _ in range(20_000):
+        word, entry = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 7))) for _ in range(2))
+        state, at = machine.start, 0
+        for c in entry:
+            mask = sum(1 << i for i, x in enumerate(word[at : at + machine.reach]) if x == c)
+            state, moved = machine.step(state, mask, min(len(word) - at, machine.reach))
+            if state < 0:
+                break
+            at += moved
+        got = machine.distance(state, len(word) - at) if state >= 0 else 9
+        want = damerau(word, entry)
+        assert got == want if want <= edits else got > edits, (word, entry)
+    assert len(machine.positions) < 2_000
 
 
 def test_folding_and_parts():
@@ -94,8 +111,17 @@ def test_empty_tables(spark, places):
 def test_blocks_of_a_long_list_give_the_same(spark, places):
     reference = places.selectExpr("place_code as code", "place_name as name", "other_names as others", "region_name as region")
     values = spark.createDataFrame([(v,) for v in ("Bernwick", "Prt Ellery", "aldermere", "zzz", None, "Oshmar", "old quay")], "value string")
-    one, many = ({r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, n).collect()} for n in (1000, 2))
-    assert one == many and one["aldermere"] == (0, ("ALM", "AM"))
+    one, many, single = ({r.value: (r.distance, tuple(r.codes), tuple(map(tuple, r.within))) for r in match_values(values, reference, n).collect()} for n in (20_000, 2, 1))
+    assert one == many == single and one["aldermere"] == (0, ("ALM", "AM"), ((0, "ALM"), (0, "AM")))
+
+
+def test_all_entries_within_the_distance(spark):
+    names = ["Wexcombe", "Wexcomb", "Wexcolme", "Westcombe Hill", "Vexcombe"]
+    reference = spark.createDataFrame([(n[:2].upper() + str(i), n, None, None) for i, n in enumerate(names)], "code string, name string, others string, region string")
+    values = spark.createDataFrame([("Wexcombe",), ("Wexcombes",), ("Qqq",)], "value string")
+    for n in (1, 2, 20_000):
+        got = {r.value: [tuple(x) for x in r.within] for r in match_values(values, reference, n).collect()}
+        assert got == {"Wexcombe": [(0, "WE0"), (1, "VE4"), (1, "WE1")], "Wexcombes": [(1, "WE0")]}
 
 
 def test_regions_of_other_blocks_are_no_names(spark, places):
@@ -103,7 +129,7 @@ def test_regions_of_other_blocks_are_no_names(spark, places):
     more = spark.createDataFrame([("V", "Vessaly", None, None), ("O", "Oshmar", "Cundrath", None), ("C", "Cundrath Hill", "Nordvland", None)], PSCHEMA)
     reference = places.unionByName(more).selectExpr("place_code as code", "place_name as name", "other_names as others", "region_name as region")
     values = spark.createDataFrame([(v,) for v in ("Aldermare, Vessaly", "Bernwick / Oshmar", "Oshmar", "Vesaly", "Nowhere, Oshmar", "Oshmar, Vessaly", "Brenwick, ?", "?", "")], "value string")
-    one = {r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, 1000).collect()}
+    one = {r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, 20_000).collect()}
     assert one["Aldermare, Vessaly"] == (1, ("ALM", "AM")) and one["Oshmar"] == (0, ("O",)) and "Nowhere, Oshmar" not in one
     for n in (1, 2, 5):
         assert {r.value: (r.distance, tuple(r.codes)) for r in match_values(values, reference, n).collect()} == one

@@ -15,9 +15,11 @@ one class. Two shingles together are rare where one alone is not, so nearly all
 texts that meet are alike. Sizes are cut into bands, each with its own g.
 
 Groups. Texts with the same prefix and size are announced as one group, under a
-hash of both; exact copies are such a group. Groups that meet are filtered by
-size, then expanded to their distinct sets, and these are verified on the whole
-sets. Copies never make pairs among themselves before the very end, and only in
+hash of both; exact copies are such a group. Announcements are dealt to buckets
+by signature, as many as the sets' size asks for, so that a bucket is as large
+for any number of texts; groups under a signature that very many share meet in a
+join that is cut into blocks. Groups that meet are filtered by size, then
+expanded to their distinct sets, and these are verified on the whole sets. Copies never make pairs among themselves before the very end, and only in
 `similar_pairs`, whose result is the pairs.
 """
 
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from rostrum.llm.shingles import mix, shingle_hashes, text_buffer, word_hashes
 from rostrum.operators.graph import connected
-from rostrum.session import materialize, partitions
+from rostrum.session import materialize, partitions, parts_for
 
 #: Cells of the counting sketch, a power of two.
 SKETCH_BITS = 19
@@ -45,6 +47,10 @@ FILTER_BITS = 24
 #: Texts that are announced together; their index must fit 16 bits.
 CHUNK_TEXTS = 20_000
 CHUNK_SHINGLES = 2_000_000
+#: Bytes of sets whose announcements make a bucket; these take about twice as many.
+BUCKET_BYTES = 8 << 20
+#: Groups under one signature that are paired within a task; those of longer lists meet in a join.
+HOT = 2_000
 #: Smallest set that is announced under two shingles; smaller ones go under one.
 LEAST_PAIRED = 32
 BAND_FACTOR = 8
@@ -265,13 +271,14 @@ def _announce(plan: list[Band], t: Fraction, ranks_of, buckets: int):
     return run
 
 
-def _meet(plan: list[Band], t: Fraction):
-    """Within a bucket: groups that were announced under one signature, and the members of groups."""
+def _meet(t: Fraction, hot: int):
+    """Within a bucket: groups that were announced under one signature (0), the members of groups (1), and the groups under a signature that more than `hot` have (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
-        total = 0
+        total = bucket = 0
         for b in batches:
+            bucket = b.column(0)[0].as_py() if len(b) else bucket
             for blob in b.column(1):
                 group, n, sig, local, *members = _decode(blob.as_buffer().to_pybytes())
                 if len(members[0]):
@@ -286,6 +293,12 @@ def _meet(plan: list[Band], t: Fraction):
         n = n[first].astype(np.int64)
         keys = np.unique((sig << np.uint64(32)) | number[local].astype(np.uint64))
         sig, number = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
+        size = np.diff(np.append(first, len(sig)))
+        if (size > hot).any():
+            many = np.repeat(size > hot, size)
+            yield _rows(2, (sig[many] | np.uint64(bucket << 32)).view(np.int64), group[number[many]].view(np.int64), n[number[many]])
+            sig, number = sig[~many], number[~many]
         held, count = [], 0
         for a, b in _pairs_of_runs(sig, number):
             close = np.minimum(n[a], n[b]) * t.denominator >= np.maximum(n[a], n[b]) * t.numerator
@@ -350,6 +363,17 @@ def _overlaps(t: Fraction):
     return run
 
 
+def _hot_pairs(met: DataFrame, t: Fraction, hot: int) -> DataFrame:
+    """Groups a < b of fitting sizes under a signature with very many: a join by signature and block, each of at most about `hot` groups."""
+    rows = met.filter("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("grp"), F.col("id").alias("n"))
+    blocks = rows.groupBy("sig").agg(F.ceil(F.count("*") / hot).cast("bigint").alias("blocks"))
+    rows = rows.join(blocks, "sig").withColumn("block", F.pmod(F.xxhash64("grp"), F.col("blocks")))
+    left = rows.select("sig", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("grp").alias("a"), F.col("n").alias("n_a"))
+    right = rows.select("sig", "block", F.col("grp").alias("b"), F.col("n").alias("n_b"))
+    close = F.least("n_a", "n_b") * t.denominator >= F.greatest("n_a", "n_b") * t.numerator
+    return left.join(right, ["sig", "block"]).filter((F.col("a") < F.col("b")) & close).select("a", "b")
+
+
 @dataclass(frozen=True)
 class Similar:
     """`links`: pairs of distinct sets a < b (by set_hash) with shared and distinct shingles; `members`: set_hash, id of every text, without repeats."""
@@ -358,7 +382,7 @@ class Similar:
     members: DataFrame
 
 
-def similar_sets(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.8, k: int = 5, least_words: int = 0) -> Similar:
+def similar_sets(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.8, k: int = 5, least_words: int = 0, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> Similar:
     """All pairs of distinct shingle sets with a Jaccard similarity of at least `similarity`.
 
     Defined cases: rows with a null id or text, and texts of fewer than
@@ -371,17 +395,17 @@ def similar_sets(df: DataFrame, id_col: str, text_col: str, similarity: float =
     sets = materialize(shingle_sets(df, id_col, text_col, k, least_words), "shingle-sets", "none")
     smallest, largest = sets.agg(F.min("n"), F.max("n")).first()
     plan = bands(t, smallest or 1, largest or 0)
-    buckets = max(partitions(spark), 1)
+    buckets = parts_for(sets, bucket_bytes)
     if plan:
         ranks = spark.sparkContext.broadcast(shingle_ranks(sets))
         announced = sets.mapInArrow(_announce(plan, t, ranks, buckets), "bucket int, entries binary")
-        met = announced.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet(plan, t), "kind tinyint, a bigint, b bigint, id bigint")
+        met = announced.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet(t, hot), "kind tinyint, a bigint, b bigint, id bigint")
     else:
         met = spark.createDataFrame([], "kind tinyint, a bigint, b bigint, id bigint")
     met = materialize(met, "meetings")
     members = met.filter("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("set_hash"), "id").distinct()
     held = members.select("grp", "set_hash").distinct()
-    groups = met.filter("kind = 0").select("a", "b").distinct()
+    groups = met.filter("kind = 0").select("a", "b").unionByName(_hot_pairs(met, t, hot)).distinct()
     left, right = held.select(F.col("grp").alias("a"), F.col("set_hash").alias("x")), held.select(F.col("grp").alias("b"), F.col("set_hash").alias("y"))
     across = groups.join(left, "a").join(right, "b").select("x", "y")
     within = left.join(right, F.col("a") == F.col("b")).filter("x < y").select("x", "y")

@@ -121,3 +121,17 @@ def test_bands_hold_every_pair():
             p, q = (int(band.prefix(np.array([x]), t)[0]) for x in (n, m))
             k = band.classes + 1
             assert p >= min(n, n - shared + k) and q >= min(m, m - shared + k) and shared >= k
+
+
+@pytest.mark.parametrize("bucket_bytes,hot", [(200, 1), (8 << 20, 3), (2_000, 2_000)])
+def test_buckets_and_hot_signatures_lose_nothing(spark, bucket_bytes, hot):
+    rng = random.Random(8)
+    voc = [f"w{i}" for i in range(50)]
+    base = [rng.choice(voc) for _ in range(60)]
+    # a third of all texts are small edits of one text, and a third have one opening
+    rows = [(i, " ".join(edited(rng, base, voc, 0.06))) for i in range(40)]
+    rows += [(100 + i, " ".join(base[:25] + [rng.choice(voc) for _ in range(40)])) for i in range(40)]
+    rows += [(200 + i, " ".join(rng.choice(voc) for _ in range(50))) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    found = similar_pairs(similar_sets(df, "id", "text", 0.5, 3, 0, bucket_bytes, hot))
+    assert {(r.id_a, r.id_b) for r in found.collect()} == brute(rows, 0.5, 3, 0)

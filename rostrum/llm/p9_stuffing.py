@@ -41,6 +41,7 @@ evidence AS (SELECT doc_id, CAST(coalesce(words, 0) AS BIGINT) AS words, CAST(co
 """
 
 ORACLE = {
-    "p9_found": f"""WITH {_EVIDENCE} SELECT doc_id FROM evidence WHERE (list_share > {LIST_SHARE} AND list_words >= {LEAST_LIST_WORDS})
+    "p9_evidence": f"WITH {_EVIDENCE} SELECT * FROM evidence",
+    "p9_found": f"""WITH {_EVIDENCE} SELECT doc_id FROM evidence WHERE (list_share > {LIST_SHARE} AND (list_words >= {LEAST_LIST_WORDS} OR list_words = words))
       OR (list_share > {NEAR_SHARE} AND list_words >= {LEAST_NEAR_WORDS} AND stitched_share > {STITCHED_SHARE})""",
 }

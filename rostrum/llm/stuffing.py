@@ -7,10 +7,13 @@ host carries. List density: the share of its words that stand in units without
 the make-up of a sentence (`listiness`). A page is flagged if most of its words
 stand in lists, or nearly most and most of its phrases are replicated elsewhere.
 
-Phrases travel packed: a few large rows per task and bucket, four bytes a phrase
-and two for its page. Counts per page come back as numbers only. By its four
-bytes within a bucket one phrase in some thousands is taken for another, which
-moves a stitched share by less than the shares are compared with.
+Phrases travel packed: a few large rows per task and bucket, five bytes a phrase
+and two for its page, with the pages of that bucket only. A phrase that enough
+hosts carry within one task's pages is settled there, and only its name goes on,
+so that boilerplate costs one entry a task and not one a page. There are as many
+buckets as the texts' size asks for; so a bucket is as large, and by its five
+bytes a phrase is taken for another as seldom (one in some 100,000), for any
+number of pages. Counts per page come back as numbers only.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rostrum.llm.listiness import units_of
 from rostrum.llm.shingles import mix, shingle_hashes, text_buffer
-from rostrum.session import partitions
+from rostrum.session import parts_for
 
 PHRASE_WORDS = 5
 LEAST_HOSTS = 2
@@ -33,6 +36,8 @@ LIST_SHARE, NEAR_SHARE, STITCHED_SHARE = 0.5, 0.42, 0.5
 #: Beside prose, fewer words in lists are a heading, as a catalogue entry has, and no list.
 LEAST_LIST_WORDS, LEAST_NEAR_WORDS = 12, 24
 CHUNK_TEXTS, CHUNK_WORDS = 20_000, 4_000_000
+#: Bytes of the pages' files whose phrases make a bucket; compressed texts give about five times as many.
+BUCKET_BYTES = 4 << 20
 
 # What a sentence has at least: of all words function words, and words that make sentences; and what a repeated-keyword unit has.
 LEAST_FUNCTION, LEAST_SENTENCE, KEYWORD_SHARE, KEYWORD_FUNCTION = 0.15, 0.1, 0.9, 0.5
@@ -54,27 +59,69 @@ def list_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return words, np.bincount(units.text, np.where(prose, 0, units.words), n).astype(np.int64), text, word
 
 
-def _pack(buckets: int):
+def _settle(entries: np.ndarray, hosts: np.ndarray, least_hosts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries sorted by phrase: those that are open here, one of each phrase that enough hosts here carry, and how many such phrases each page has."""
+    phrase, page = entries >> np.uint64(16), (entries & np.uint64(0xFFFF)).astype(np.int64)
+    code = np.unique(hosts, return_inverse=True)[1]
+    first = np.append(True, phrase[1:] != phrase[:-1])
+    number = np.cumsum(first) - 1
+    pairs = np.unique((number.astype(np.uint64) << np.uint64(32)) | code[page].astype(np.uint64))
+    known = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=int(number[-1]) + 1) >= least_hosts
+    settled = known[number]
+    return entries[~settled], entries[first & settled], np.bincount(page[settled], minlength=len(hosts))
+
+
+def _planes(entries: np.ndarray) -> np.ndarray:
+    """Five bytes of each entry's phrase, byte by byte: sorted as they are, the upper ones compress away."""
+    return np.ascontiguousarray((entries >> np.uint64(16)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].T)
+
+
+def _from_planes(planes: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(planes) // 5, 8), np.uint8)
+    wide[:, 3:] = planes.reshape(5, -1).T
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
+def _blob(open_: np.ndarray, known: np.ndarray, ids: np.ndarray, hosts: np.ndarray, *sums: np.ndarray) -> bytes:
+    """Open entries with the ids and hosts of their pages only, known phrases, and the sums of the pages that are counted in this bucket."""
+    used, local = np.unique((open_ & np.uint64(0xFFFF)).astype(np.int64), return_inverse=True)
+    head = np.array([len(used), len(open_), len(known), len(sums[0])], np.int64)
+    return b"".join(x.tobytes() for x in (head, ids[used], hosts[used], _planes(open_), local.astype(np.uint16), _planes(known), *sums))
+
+
+def _unblob(raw: bytes) -> list[np.ndarray]:
+    """ids, hosts, phrases, pages, known phrases, and the five columns of sums."""
+    used, entries, known, pages = (int(x) for x in np.frombuffer(raw, np.int64, 4))
+    at, out = 32, []
+    for kind, count in ((np.int64, used), (np.int64, used), (np.uint8, 5 * entries), (np.uint16, entries), (np.uint8, 5 * known), *[(np.int64, pages)] * 5):
+        out.append(np.frombuffer(raw, kind, count, at))
+        at += out[-1].nbytes
+    out[2], out[4] = _from_planes(out[2]), _from_planes(out[4])
+    return out
+
+
+def _pack(buckets: int, least_hosts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        texts = words_held = chunk = 0
+        texts = words_held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             ids, hosts, words, listed, phrases = (np.concatenate([h[i] for h in held]) for i in range(5))
             bases = np.append(0, np.cumsum([len(h[0]) for h in held[:-1]])).astype(np.int64)
             entries = np.concatenate([h[5] + (b.astype(np.uint64) if h[5].size else np.uint64(0)) for h, b in zip(held, bases, strict=True)])
             entries.sort()
-            cuts = np.searchsorted(entries >> np.uint64(48), np.arange(buckets + 1, dtype=np.uint64))
-            home = chunk % buckets
+            settled = np.zeros(len(ids), np.int64)
+            known = entries[:0]
+            if len(entries):
+                entries, known, settled = _settle(entries, hosts, least_hosts)
+            edges = np.array([(x << 48) // buckets for x in range(buckets + 1)], np.uint64)
+            cuts, known_cuts = (np.searchsorted(x >> np.uint64(16), edges) for x in (entries, known))
+            home = abs(int(ids[0])) % buckets
             for x in range(buckets):
-                part = entries[cuts[x] : cuts[x + 1]]
-                meta = x == home
-                if len(part) or meta:
-                    head = np.array([len(ids), len(part), meta], np.int64)
-                    sums = [words, listed, phrases] if meta else []
-                    planes = np.ascontiguousarray(((part >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(">u4").view(np.uint8).reshape(-1, 4).T)
-                    blob = b"".join(a.tobytes() for a in (head, ids, hosts, *sums, planes, (part & np.uint64(0xFFFF)).astype(np.uint16)))
-                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()), pa.array([blob], pa.binary())], names=["bucket", "entries"])
+                part, names = entries[cuts[x] : cuts[x + 1]], known[known_cuts[x] : known_cuts[x + 1]]
+                sums = [c if x == home else c[:0] for c in (ids, words, listed, phrases, settled)]
+                if len(part) or len(names) or x == home:
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()), pa.array([_blob(part, names, ids, hosts, *sums)], pa.binary())], names=["bucket", "entries"])
 
         for b in batches:
             for i in range(0, len(b), 2_000):
@@ -82,14 +129,13 @@ def _pack(buckets: int):
                 data, offsets = text_buffer(piece.column(2))
                 words, listed, text, word = list_words(data, offsets)
                 text, full = shingle_hashes(text, word, PHRASE_WORDS)
-                full = mix(full)
-                # a page's phrase counts once; its bucket, 32 bits of its hash and the page's place in one number
-                key = np.unique((((full >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(48)) | ((full & np.uint64(0xFFFFFFFF)) << np.uint64(16)) | text.astype(np.uint64))
+                # a page's phrase counts once; the upper 48 bits of its hash, whose range is cut into buckets, and the page's place in one number
+                key = np.unique((mix(full) & ~np.uint64(0xFFFF)) | text.astype(np.uint64))
                 phrases = np.bincount((key & np.uint64(0xFFFF)).astype(np.int64), minlength=len(piece))
                 total = int(words.sum())
                 if held and (texts + len(piece) > CHUNK_TEXTS or words_held + total > CHUNK_WORDS):
                     yield from flush()
-                    held, texts, words_held, chunk = [], 0, 0, chunk + 1
+                    held, texts, words_held = [], 0, 0
                 ids, hosts = piece.column(0).to_numpy(), piece.column(1).to_numpy()
                 held.append((ids, hosts, words, listed, phrases, key))
                 texts, words_held = texts + len(piece), words_held + total
@@ -101,37 +147,28 @@ def _pack(buckets: int):
 
 def _count_hosts(least_hosts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, hosts, sig, page = [], [], [], []
+        ids, hosts, sig, page, names = [], [], [], [], []
         total = 0
         for b in batches:
             for blob in b.column(1):
-                raw = blob.as_buffer().to_pybytes()
-                n, m, meta = np.frombuffer(raw, np.int64, 3)
-                at = 24
-                parts = []
-                for kind, count in ((np.int64, n), (np.int64, n), *([(np.int64, n)] * 3 if meta else []), (np.uint8, 4 * m), (np.uint16, m)):
-                    parts.append(np.frombuffer(raw, kind, int(count), at))
-                    at += parts[-1].nbytes
-                if meta:
-                    zero = np.zeros(int(n), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (parts[0], parts[2], parts[3], parts[4], zero)], schema=EVIDENCE)
-                used, local = np.unique(parts[-1], return_inverse=True)
-                ids.append(parts[0][used])
-                hosts.append(parts[1][used])
-                sig.append(np.ascontiguousarray(parts[-2].reshape(4, -1).T).view(">u4").ravel().astype(np.uint32))
+                id_, host, phrase, local, known, *sums = _unblob(blob.as_buffer().to_pybytes())
+                if len(sums[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in sums], schema=EVIDENCE)
+                ids.append(id_)
+                hosts.append(host)
+                sig.append(phrase)
                 page.append(local.astype(np.int64) + total)
-                total += len(used)
+                names.append(known)
+                total += len(id_)
         if not total:
             return
         id_, host = np.concatenate(ids), np.unique(np.concatenate(hosts), return_inverse=True)[1]
         signature, pages = np.concatenate(sig), np.concatenate(page)
-        pairs = np.unique((signature.astype(np.uint64) << np.uint64(32)) | host[pages].astype(np.uint64))
-        phrase = (pairs >> np.uint64(32)).astype(np.uint32)
-        first = np.flatnonzero(np.append(True, phrase[1:] != phrase[:-1]))
-        many = phrase[first][np.diff(np.append(first, len(phrase))) >= least_hosts]
-        if not len(many):
-            return
-        found = many[np.minimum(np.searchsorted(many, signature), len(many) - 1)] == signature
+        phrase, number = np.unique(signature, return_inverse=True)
+        pairs = np.unique((number.astype(np.uint64) << np.uint64(32)) | host[pages].astype(np.uint64))
+        many = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(phrase)) >= least_hosts
+        many |= np.isin(phrase, np.concatenate(names))
+        found = many[number]
         counts = np.bincount(pages[found], minlength=total)
         at = np.flatnonzero(counts)
         zero = np.zeros(len(at), np.int64)
@@ -140,7 +177,7 @@ def _count_hosts(least_hosts: int):
     return run
 
 
-def page_evidence(pages: DataFrame, id_col: str, text_col: str, host_col: str, least_hosts: int = LEAST_HOSTS) -> DataFrame:
+def page_evidence(pages: DataFrame, id_col: str, text_col: str, host_col: str, least_hosts: int = LEAST_HOSTS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, words, list_words, phrases, replicated (phrases that at least `least_hosts` hosts carry), list_share, stitched_share.
 
     Defined cases: rows without an id take no part; pages without words have no
@@ -148,9 +185,9 @@ def page_evidence(pages: DataFrame, id_col: str, text_col: str, host_col: str, l
     id add up, which leaves its shares as they are. Empty tables give empty
     results. Other columns are ignored.
     """
-    buckets = partitions(pages.sparkSession)
+    buckets = parts_for(pages, bucket_bytes)
     rows = pages.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(host_col)).alias("host"), F.coalesce(F.lower(F.col(text_col)), F.lit("")).alias("text")).filter("doc_id is not null")
-    packed = rows.mapInArrow(_pack(buckets), "bucket int, entries binary")
+    packed = rows.mapInArrow(_pack(buckets, least_hosts), "bucket int, entries binary")
     counted = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(_count_hosts(least_hosts), "doc_id bigint, words bigint, list_words bigint, phrases bigint, replicated bigint")
     sums = counted.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("words", "list_words", "phrases", "replicated")))
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))

@@ -3,8 +3,9 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from rostrum.llm.stuffing import list_words, page_evidence, stuffed_pages
+from rostrum.llm.stuffing import _pack, list_words, page_evidence, stuffed_pages
 
 SCHEMA = "doc_id bigint, text string, source string, bucket string, words string"
 PROSE = ["I do not know what the mind is when it looks at its own fear.", "They asked whether we could live without any conflict!", "Der Lehrer fragt, ob das Leben eine Ordnung hat.", "El miedo no es lo que la memoria dice de ese dolor.", "Le silence est dans chaque question que nous posons."]
@@ -61,3 +62,16 @@ def test_hosts_equal_brute_force(spark):
     df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
     got = {r.doc_id: (r.phrases, r.replicated) for r in page_evidence(df, "doc_id", "text", "source").collect()}
     assert got == {i: (len(ps), sum(len(hosts[p]) >= 2 for p in ps)) for i, ps in own.items()}
+
+
+def test_buckets_change_no_count_and_add_few_bytes(spark):
+    rng = random.Random(9)
+    boiler = " ".join(rng.choice("abcdefgh") for _ in range(30))
+    rows = [(i, (boiler + " " if i % 3 == 0 else "") + " ".join(f"w{rng.randrange(300)}" for _ in range(60)), rng.choice(["x", "y", None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = [sorted((r.doc_id, r.phrases, r.replicated) for r in page_evidence(df, "doc_id", "text", "source", bucket_bytes=n).collect()) for n in (1 << 30, 20_000, 1_000)]
+    assert got[0] == got[1] == got[2] and max(r[2] for r in got[0]) >= 26
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([hash(r[2]) % 3 for r in rows], pa.int64()), pa.array([r[1] for r in rows])], names=["a", "b", "c"])
+    packed = [sum(len(x.as_py()) for b in _pack(n, 2)(iter([batch])) for x in b.column(1)) for n in (1, 8)]
+    # each bucket names the pages of its entries, at most once an entry
+    assert packed[1] <= packed[0] + 8 * 16 * len(rows)

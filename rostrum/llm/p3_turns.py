@@ -40,8 +40,7 @@ def _plain(x: str) -> str:
     return rf"trim(regexp_replace({x}, '(\pL) *\d+$', '\1'))"
 
 
-ORACLE = {
-    "p3_found": rf"""
+_TURNS = rf"""
 WITH seg AS (SELECT * EXCLUDE (loaded_at) FROM segments WHERE transcript_id IS NOT NULL AND seq IS NOT NULL AND text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1),
 who AS (SELECT speaker_code AS code, unnest(list_prepend(display_name, string_split(coalesce(other_names, ''), ';'))) AS full_name FROM speakers WHERE speaker_code <> 'UNK'),
 ws AS (SELECT code, list_filter(string_split(trim(full_name), ' '), lambda w: w <> '') AS w FROM who),
@@ -64,11 +63,14 @@ labels AS (SELECT DISTINCT w AS l FROM norm WHERE w <> '' UNION SELECT DISTINCT
 said AS (SELECT l, arg_min(code, (d, code)) AS code FROM (SELECT l, code, CASE WHEN l = form THEN 0 ELSE damerau_levenshtein(l, form) END AS d, form FROM labels, forms WHERE l = form OR (length(form) >= 5 AND length(l) >= 4 AND abs(length(l) - length(form)) <= 1)) WHERE d <= 1 GROUP BY l),
 named AS (SELECT x.*, a.code AS written, b.code AS raw FROM norm x LEFT JOIN said a ON a.l = x.w LEFT JOIN said b ON b.l = x.r),
 speech AS (SELECT *, last_value(CASE WHEN n = 1 THEN coalesce(written, raw) ELSE written END IGNORE NULLS) OVER (PARTITION BY id ORDER BY n ROWS UNBOUNDED PRECEDING) AS label,
-  regexp_matches(regexp_replace(CASE WHEN NOT labelled THEN part WHEN written IS NULL AND plain <> '' THEN plain || ':' || rest ELSE rest END, '\[[^\[\]]*\]|\([^()]*\)', ' ', 'g'), '[\pL\pN]') AS spoken FROM named),
+  regexp_replace(CASE WHEN NOT labelled THEN part WHEN written IS NULL AND plain <> '' THEN plain || ':' || rest ELSE rest END, '\[[^\[\]]*\]|\([^()]*\)', ' ', 'g') AS said, regexp_matches(said, '[\pL\pN]') AS spoken FROM named),
 coded AS (SELECT *, CASE WHEN upper(trim(speaker_code)) IN (SELECT code FROM forms) THEN upper(trim(speaker_code)) END AS code FROM speech WHERE spoken),
 own AS (SELECT *, CASE WHEN label IS NOT NULL THEN label WHEN attribution IS NOT NULL AND lower(trim(attribution)) <> 'inherit' THEN code END AS me FROM coded),
 filled AS (SELECT *, coalesce(last_value(me IGNORE NULLS) OVER u, first_value(code) OVER u, 'UNK') AS speaker FROM own WINDOW u AS (PARTITION BY transcript_id ORDER BY seq, id, n ROWS UNBOUNDED PRECEDING)),
 runs AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER (PARTITION BY transcript_id ORDER BY seq, id, n) THEN 0 ELSE 1 END AS opens FROM filled),
-turns AS (SELECT *, sum(opens) OVER (PARTITION BY transcript_id ORDER BY seq, id, n ROWS UNBOUNDED PRECEDING) AS turn FROM runs)
-SELECT transcript_id, CAST(min(seq) AS BIGINT) AS first_seq, CAST(max(seq) AS BIGINT) AS last_seq, any_value(speaker) AS speaker_code FROM turns GROUP BY transcript_id, turn""",
+turns AS (SELECT *, sum(opens) OVER (PARTITION BY transcript_id ORDER BY seq, id, n ROWS UNBOUNDED PRECEDING) AS turn FROM runs)"""
+_TURN = "transcript_id, CAST(min(seq) AS {0}) AS first_seq, CAST(max(seq) AS {0}) AS last_seq, any_value(speaker) AS speaker_code"
+ORACLE = {
+    "p3_found": f"{_TURNS} SELECT {_TURN.format('BIGINT')} FROM turns GROUP BY transcript_id, turn",
+    "p3_turns": rf"{_TURNS} SELECT {_TURN.format('INT')}, string_agg(trim(regexp_replace(said, '\s+', ' ', 'g')), ' ' ORDER BY seq, id, n) AS text FROM turns GROUP BY transcript_id, turn",
 }

@@ -33,14 +33,14 @@ ORDINALS = ["the", "first", "second", "third", "fourth", "fifth", "another", "ne
 _CUT, _MID, _END = "\u0001", "\u0002", "\u0003"
 
 #: What is never speech: sound annotations and time stamps. Brackets that may hold a speaker's label stay.
-NOISE = "|".join(
+NOISE = r"(?=[(<{*♪\[\d-])(?:%s)" % "|".join(
     [
         r"\(\([^()]*\)\)", r"<[^<>]*>", r"\{[^{}]*\}", r"\*[^*]{1,60}\*", r"--\s*[^-]{1,60}--", "♪[^♪]*♪",
         r"[\[(][^\[\]()]*\d:\d\d[^\[\]()]*[\])]", r"(?<![\d:])\d{1,2}:\d\d(?::\d\d)?(?:[.,]\d+)?(?![\d:])",
     ]
 )
-HESITATION = r"(?i)(?<![\p{L}\p{N}'’-])(?:u+h+m*|u+m+|e+r+m*|m{2,}|h+m+|a+h+|e+h+)(?![\p{L}\p{N}'’-])(?:\.{2,}|…)?,?"
-FILLER = r"(?i)(?<!\p{L})(?:you know|sort of|kind of|i mean),"
+HESITATION = r"(?i)(?=[uemha])(?<![\p{L}\p{N}'’-])(?:u+h+m*|u+m+|e+r+m*|m{2,}|h+m+|a+h+|e+h+)(?![\p{L}\p{N}'’-])(?:\.{2,}|…)?,?"
+FILLER = r"(?i)(?=[yski])(?<!\p{L})(?:you know|sort of|kind of|i mean),"
 BRACKETED = r"\[[^\[\]]*\]|\([^()]*\)"
 
 _TOKEN = r"(?:(?<!\p{L})\p{L}\.|(?i:mrs?|ms|dr|prof)\.|[\p{L}\p{N}][\p{L}\p{N}'’-]*)"
@@ -94,27 +94,18 @@ def _normal_label(label: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?<=\p{L}) *\d+$", ""))
 
 
-def _speaker_of(label: Column, forms: list[tuple[str, str]]) -> Column:
-    """The code that a normal label stands for: exactly, or with one letter wrong, missing, extra or swapped."""
-    if not forms:
-        return F.lit(None).cast("string")
-    by_form = F.create_map(*(F.lit(x) for pair in forms for x in pair))
-    long = [p for p in forms if len(p[0]) >= FUZZY_LENGTH]
-    exact = F.try_element_at(by_form, label)
-    if not long:
-        return exact
+def _speakers_of(labels: DataFrame, forms: list[tuple[str, str]]) -> DataFrame:
+    """normal, who: the code that each normal label stands for: exactly, or with one letter wrong, missing, extra or swapped (the first code of several)."""
+    table = labels.sparkSession.createDataFrame([(f, c, len(f)) for f, c in forms], "form string, code string, length int")
+    exact = labels.join(table, F.col("normal") == F.col("form")).select("normal", F.lit(0).alias("d"), "code")
+    size = F.length("normal")
+    near = labels.filter(size >= FUZZY_LENGTH - 1).select("normal", F.explode(F.array(size - 1, size, size + 1)).alias("length"))
     letters = lambda c: F.array_sort(F.split(c, ""))
-
-    def distance(form: Column) -> Column:
-        d = F.levenshtein(form, label, 2)
-        swapped = (d == 2) & (F.length(form) == F.length(label)) & (letters(form) == letters(label))
-        return F.when(swapped, 1).when(d >= 0, d).otherwise(9)
-
-    table = F.array(*(F.struct(F.lit(f).alias("form"), F.lit(c).alias("code")) for f, c in long))
-    near = F.filter(table, lambda x: F.abs(F.length(x["form"]) - F.length(label)) <= 1)
-    best = F.array_min(F.transform(near, lambda x: F.struct(distance(x["form"]).alias("d"), x["code"].alias("code"))))
-    fuzzy = F.when(F.length(label) >= FUZZY_LENGTH - 1, F.when(best["d"] <= 1, best["code"]))
-    return F.when(label.isNotNull() & (label != ""), F.coalesce(exact, fuzzy))
+    d = F.levenshtein("form", "normal", 2)
+    pairs = near.join(table.filter(F.col("length") >= FUZZY_LENGTH), "length").withColumn("d", d).filter("d >= 0")
+    swapped = (F.col("d") == 2) & (F.length("form") == size) & (letters("form") == letters("normal"))
+    pairs = pairs.select("normal", F.when(swapped, 1).otherwise(F.col("d")).alias("d"), "code").filter("d <= 1")
+    return exact.unionByName(pairs).groupBy("normal").agg(F.min(F.struct("d", "code"))["code"].alias("who"))
 
 
 def _clean(text: Column) -> Column:
@@ -122,12 +113,8 @@ def _clean(text: Column) -> Column:
     return F.regexp_replace(F.when(noisy, F.regexp_replace(text, NOISE, " ")).otherwise(text), HESITATION, " ")
 
 
-def speech_pieces(segments: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Pieces of speech in order, each with the speaker it names (`named`) if it names one.
-
-    Reads transcript_id, id, seq, raw_label, speaker_code, attribution and text.
-    """
-    forms = label_forms(speakers)
+def _cut_texts(segments: DataFrame, with_text: bool) -> DataFrame:
+    """Pieces of the texts without noise, each with the label written at its head, the first also with the row's raw_label."""
     # copies of a row differ in nothing that is read here
     rows = segments.select("id", "transcript_id", "seq", "raw_label", "speaker_code", "attribution", "text")
     rows = rows.filter("transcript_id is not null and seq is not null and text is not null")
@@ -140,20 +127,46 @@ def speech_pieces(segments: DataFrame, speakers: DataFrame) -> DataFrame:
     plain = F.when(has_label, F.substring_index("part", _MID, 1))
     bracket = F.when(has_label, F.substring_index(F.substring_index("part", _END, 1), _MID, -1))
     rest = F.when(has_label, F.substring_index("part", _END, -1)).otherwise(F.col("part"))
-    rows = rows.select("*", plain.alias("plain"), bracket.alias("bracket"), rest.alias("rest"))
-    written = _speaker_of(F.col("written_label"), forms)
-    rows = rows.withColumn("written_label", _normal_label(F.when(F.col("plain") != "", F.col("plain")).otherwise(F.col("bracket"))))
-    rows = rows.withColumn("written", written)
+    rows = rows.select("*", F.nullif(plain, F.lit("")).alias("plain"), bracket.alias("bracket"), rest.alias("rest"))
+    raw = F.when(F.col("piece") == 0, F.col("raw_label"))
+    text = ["plain", "rest"] if with_text else [F.col("plain").isNotNull().alias("has_plain"), _spoken(F.col("rest")).alias("rest_speaks")]
+    return rows.select("id", "transcript_id", "seq", "piece", F.upper(F.trim("speaker_code")).alias("code"), "attribution", F.coalesce("plain", "bracket").alias("written_label"), raw.alias("raw_label"), *text)
+
+
+def _bare(said: Column) -> Column:
+    """What is said, without brackets that name nobody."""
+    return F.when(said.rlike(r"[\[(]"), F.regexp_replace(said, BRACKETED, " ")).otherwise(said)
+
+
+def _spoken(said: Column) -> Column:
+    return _bare(said).rlike(r"[\p{L}\p{N}]")
+
+
+def speech_pieces(segments: DataFrame, speakers: DataFrame, with_text: bool = True) -> DataFrame:
+    """Pieces of speech in order, each with the speaker it names (`written`, `raw`) if it names one, and with what is said only if asked.
+
+    Reads transcript_id, id, seq, raw_label, speaker_code, attribution and text.
+    The texts are cut once and written to the shared folder. Their distinct labels
+    are resolved once each; those that name a speaker, which are few, are joined
+    back.
+    """
+    forms = label_forms(speakers)
+    rows = materialize(_cut_texts(segments, with_text), "pieces")
+    labels = rows.select(F.col("written_label").alias("label")).unionAll(rows.select(F.col("raw_label").alias("label"))).filter("label is not null").distinct()
+    labels = materialize(labels.withColumn("normal", _normal_label(F.col("label"))).filter("normal <> ''"), "labels")
+    named = materialize(labels.join(_speakers_of(labels.select("normal").distinct(), forms), "normal").select("label", "who"), "named-labels")
+    for label, who in (("written_label", "written"), ("raw_label", "raw")):
+        rows = rows.join(named.select(F.col("label").alias(label), F.col("who").alias(who)), label, "left")
+    known = sorted({c for _, c in forms})
+    code = F.when(F.col("code").isin(known), F.col("code")) if known else F.lit(None).cast("string")
     # a colon after words that name nobody is part of the speech; a bracket that names nobody is a sound
-    said = F.when(F.col("written").isNull() & (F.col("plain") != ""), F.concat("plain", F.lit(":"), "rest")).otherwise(F.col("rest"))
-    said = F.when(said.rlike(r"[\[(]"), F.regexp_replace(said, BRACKETED, " ")).otherwise(said)
-    rows = rows.withColumn("said", F.trim(F.regexp_replace(said, r"\s+", " ")))
-    rows = rows.withColumn("raw_norm", F.when(F.col("piece") == 0, _normal_label(F.col("raw_label"))))
-    rows = rows.withColumn("raw", _speaker_of(F.col("raw_norm"), forms))
-    code = F.upper(F.trim("speaker_code"))
-    known = [c for c in sorted({c for _, c in forms})]
-    code = F.when(code.isin(known), code) if known else F.lit(None).cast("string")
-    return rows.select("id", "transcript_id", "seq", "piece", "written", "raw", code.alias("code"), "attribution", "said", F.col("said").rlike(r"[\p{L}\p{N}]").alias("speech"))
+    nobody = F.col("written").isNull()
+    if with_text:
+        said = F.when(nobody & F.col("plain").isNotNull(), F.concat("plain", F.lit(":"), "rest")).otherwise(F.col("rest"))
+        text = [F.trim(F.regexp_replace(_bare(said), r"\s+", " ")).alias("said"), _spoken(said).alias("speech")]
+    else:
+        text = [(F.col("rest_speaks") | (nobody & F.col("has_plain"))).alias("speech")]
+    return rows.select("id", "transcript_id", "seq", "piece", "written", "raw", code.alias("code"), "attribution", *text)
 
 
 def named_pieces(pieces: DataFrame) -> DataFrame:
@@ -168,7 +181,8 @@ def named_pieces(pieces: DataFrame) -> DataFrame:
     rows = pieces.withColumn("label", F.last(label, ignorenulls=True).over(own)).filter("speech")
     goes_on = F.col("attribution").isNull() | (F.lower(F.trim("attribution")) == "inherit")
     named = F.when(F.col("label").isNotNull(), F.col("label")).when(~goes_on, F.col("code"))
-    return rows.select(*keys, "piece", named.alias("named"), "code", "said").dropDuplicates([*keys, "piece"])
+    said = ["said"] if "said" in pieces.columns else []
+    return rows.select(*keys, "piece", named.alias("named"), "code", *said).dropDuplicates([*keys, "piece"])
 
 
 def speaker_turns(segments: DataFrame, speakers: DataFrame, with_text: bool = True, block: int = BLOCK, unknown: str = "UNK") -> DataFrame:
@@ -181,8 +195,8 @@ def speaker_turns(segments: DataFrame, speakers: DataFrame, with_text: bool = Tr
     on with the speaker before it, and without one is UNK. Empty tables give
     empty results; without speakers every turn is UNK. Other columns are ignored.
     """
-    rows = named_pieces(speech_pieces(segments, speakers)).withColumn("block", F.floor(F.col("seq") / block).cast("bigint"))
-    rows = materialize(rows if with_text else rows.drop("said"), "named-pieces")  # read twice: for the blocks' ends and for the rows
+    rows = named_pieces(speech_pieces(segments, speakers, with_text)).withColumn("block", F.floor(F.col("seq") / block).cast("bigint"))
+    rows = materialize(rows, "named-pieces")  # read twice: for the blocks' ends and for the rows
     at = F.struct("seq", "id", "piece")
     in_block = Window.partitionBy("transcript_id", "block").orderBy("seq", "id", "piece")
     so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)

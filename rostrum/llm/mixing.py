@@ -7,8 +7,10 @@ weight, and only what they can't take goes up to the next level.
 
 A leaf's budget is met from seeded epochs: whole passes over its records, then
 the token-prefix of one more pass in an order drawn by hash. The prefix needs no
-sort of the leaf: token sums per slice of the hash range find the slice in which
-the budget ends, slices before it are taken whole, and only that one is ranked.
+sort of the leaf: token sums per slice of the hash range, as many as the number of
+records asks for, find the slice in which the budget ends, slices before it are
+taken whole, and only that one is ranked. The order is the same for any number of
+slices.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from rostrum.session import lookup_rows, materialize
 
-#: Slices of the hash range of a leaf.
-SLICES = 4096
+#: Records of a slice of the hash range, about.
+SLICE_RECORDS = 5_000
 MAX_LEAVES = 10_000
 #: Records that a source may get beyond its leaves' prefixes.
 TOP_UPS = 5
@@ -60,18 +62,16 @@ def spread(node: Node, budget: float) -> None:
             spread(k, float(b))
 
 
-def leaf_budgets(leaves: list[tuple[tuple[str, ...], str, int]], targets: dict[str, tuple[float, int]], total: float | None) -> tuple[dict[tuple[str, ...], float], float]:
-    """Budget of each leaf (path, source, tokens), and the total; without a total, the largest at which every source with tokens meets its share."""
+def budget_tree(leaves: list[tuple[tuple[str, ...], str, int]], targets: dict[str, tuple[float, int]], total: float | None) -> Node:
+    """Budgets of all nodes over the leaves (path, source, tokens); without a total, the largest at which every source with tokens meets its share."""
     supply: dict[str, float] = {}
     for _, source, tokens in leaves:
         supply[source] = supply.get(source, 0.0) + tokens * targets[source][1]
     sources = {s: w for s, (w, _) in targets.items() if w > 0 and supply.get(s, 0) > 0}
     weight_all = sum(sources.values())
-    if not sources:
-        return {path: 0.0 for path, _, _ in leaves}, 0.0
-    if total is None:
-        total = min(supply[s] * weight_all / w for s, w in sources.items())
     root = Node()
+    if total is None:
+        total = min((supply[s] * weight_all / w for s, w in sources.items()), default=0.0)
     for path, source, tokens in leaves:
         room = tokens * targets[source][1] if source in sources else 0.0
         weight = sources.get(source, 0.0) * room / supply[source] if supply.get(source) else 0.0
@@ -82,17 +82,39 @@ def leaf_budgets(leaves: list[tuple[tuple[str, ...], str, int]], targets: dict[s
             node.weight += weight
             node.room += room
     spread(root, min(total, root.room))
-    budgets = {}
-    for path, _, _ in leaves:
-        node = root
-        for x in path:
-            node = node.children[x]
-        budgets[path] = node.budget
-    return budgets, float(total)
+    return root
+
+
+def leaf_budget(root: Node, path: tuple[str, ...]) -> float:
+    for x in path:
+        root = root.children[x]
+    return root.budget
+
+
+BUDGETS = "level int, node string, weight double, room double, asked double, budget double, shortage double, received double"
 
 
-def mix(records: DataFrame, targets: DataFrame, id_col: str, size_col: str, source_col: str, path: dict[str, Column], total_tokens: float | None = None, seed: int = 7) -> DataFrame:
-    """id, source, the path's columns, tokens, uses and used_tokens of every record that is chosen.
+def _budget_rows(node: Node, path: tuple[str, ...] = ()) -> list[tuple]:
+    """For every node what it may give (`room`), its part of its parent's budget by weight (`asked`), its budget, and by how much it falls short or takes over from siblings."""
+    out = []
+    weights = sum(k.weight for k in node.children.values())
+    for name, kid in sorted(node.children.items()):
+        asked = node.budget * kid.weight / weights if weights else 0.0
+        out.append((len(path) + 1, "/".join((*path, name)), kid.weight, kid.room, *(round(x, 3) for x in (asked, kid.budget, max(0.0, asked - kid.budget), max(0.0, kid.budget - asked)))))
+        out += _budget_rows(kid, (*path, name))
+    return out
+
+
+@dataclass(frozen=True)
+class Mix:
+    """The chosen records (`rows`), and the budgets of the tree's nodes (`budgets`)."""
+
+    rows: DataFrame
+    budgets: DataFrame
+
+
+def mix(records: DataFrame, targets: DataFrame, id_col: str, size_col: str, source_col: str, path: dict[str, Column], total_tokens: float | None = None, seed: int = 7) -> Mix:
+    """Rows of id, source, the path's columns, tokens, uses and used_tokens of every record that is chosen, and the budgets of the tree's nodes.
 
     `targets` has source, target_share and max_repeats. `path` names the tree's
     columns from the top, the last one telling sources apart. `total_tokens` is
@@ -103,7 +125,7 @@ def mix(records: DataFrame, targets: DataFrame, id_col: str, size_col: str, sour
 
     Defined cases: records without an id, of unknown source or of a source without
     a target, and records without tokens, are not chosen; repeated rows of one id
-    count once. A null share counts as 0, null repeats as 1. A source without
+    count once, at their greatest size (of ties, the last source). A null share counts as 0, null repeats as 1. A source without
     records leaves its share to the others. Null path values are a value of their
     own. Empty tables give an empty mix.
     """
@@ -111,12 +133,14 @@ def mix(records: DataFrame, targets: DataFrame, id_col: str, size_col: str, sour
     wanted = {r[0]: (float(r[1] or 0.0), int(1 if r[2] is None else r[2])) for r in lookup_rows(targets.select("source", "target_share", "max_repeats").filter("source is not null"))}
     names = list(path)
     rows = records.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).alias("source"), F.col(size_col).cast("bigint").alias("tokens"), *(F.coalesce(c.cast("string"), F.lit("")).alias(f"_{n}") for n, c in path.items()))
-    rows = rows.filter("id is not null and tokens > 0").filter(F.col("source").isin(list(wanted))).dropDuplicates(["id"])
-    rows = materialize(rows, "records-to-mix")
     leaf_columns = [f"_{n}" for n in names]
+    rows = rows.filter("id is not null and tokens > 0").filter(F.col("source").isin(list(wanted)))
+    rows = rows.groupBy("id").agg(F.max(F.struct("tokens", "source", *leaf_columns)).alias("x")).select("id", "x.source", "x.tokens", *(f"x.{c}" for c in leaf_columns))
+    rows = materialize(rows, "records-to-mix")
     sums = rows.groupBy("source", *leaf_columns).agg(F.sum("tokens").alias("tokens"))
     leaves = [(tuple(r[1:-1]), r[0], r[-1]) for r in sorted(lookup_rows(sums, MAX_LEAVES))]
-    budgets, _ = leaf_budgets(leaves, wanted, total_tokens)
+    root = budget_tree(leaves, wanted, total_tokens)
+    budgets = {where: leaf_budget(root, where) for where, _, _ in leaves}
     plan = []
     for where, source, supply in leaves:
         passes = min(int(budgets[where] // supply), wanted[source][1])
@@ -124,8 +148,9 @@ def mix(records: DataFrame, targets: DataFrame, id_col: str, size_col: str, sour
         plan.append((*where, source, passes, float(rest)))
     types = ", ".join([*(f"{c} string" for c in leaf_columns), "source string, passes int, rest double"])
     keyed = rows.join(F.broadcast(spark.createDataFrame(plan, types)), [*leaf_columns, "source"])
-    draw = F.xxhash64(F.lit(seed), "passes", "id")
-    keyed = keyed.withColumn("draw", draw).withColumn("slice", F.pmod(F.shiftrightunsigned("draw", 40), F.lit(SLICES)).cast("int"))
+    slices_wanted = max(1, -(-rows.count() // SLICE_RECORDS))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "passes", "id"), 1)
+    keyed = keyed.withColumn("draw", draw).withColumn("slice", F.expr(f"cast(draw div {-(-(1 << 63) // slices_wanted)} as int)") if slices_wanted > 1 else F.lit(0))
     leaf = [*leaf_columns, "source"]
     slices = keyed.groupBy(*leaf, "rest", "slice").agg(F.sum("tokens").alias("sum"))
     before = F.coalesce(F.sum("sum").over(Window.partitionBy(*leaf).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -144,7 +169,8 @@ def mix(records: DataFrame, targets: DataFrame, id_col: str, size_col: str, sour
     added = spark.createDataFrame([(i,) for i in extra], "id bigint").withColumn("more", F.lit(1))
     chosen = placed.join(F.broadcast(added), "id", "left").withColumn("uses", F.col("uses") + F.coalesce("more", F.lit(0))).filter("uses > 0")
     out = [F.when(F.col(f"_{n}") != "", F.col(f"_{n}")).alias(n) for n in names if n != "source"]
-    return chosen.select("id", "source", *out, "tokens", "uses", (F.col("uses") * F.col("tokens")).alias("used_tokens"))
+    chosen = chosen.select("id", "source", *out, "tokens", "uses", (F.col("uses") * F.col("tokens")).alias("used_tokens"))
+    return Mix(chosen, spark.createDataFrame(_budget_rows(root), BUDGETS))
 
 
 def _top_up(placed: DataFrame, budget_of: dict[str, float], repeats: dict[str, int]) -> list[int]:

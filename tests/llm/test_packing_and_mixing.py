@@ -124,13 +124,14 @@ def records(seed=2, n=4000):
 def run(spark, rows, targets, **kw):
     df, wanted = spark.createDataFrame(rows, RECORDS), spark.createDataFrame(targets, TARGETS)
     path = {"domain": F.substring_index("src", "_", -1), "language": F.col("lang"), "source": F.col("src")}
-    return mix(df, wanted, "doc", "n", "src", path, **kw), wanted
+    found = mix(df, wanted, "doc", "n", "src", path, **kw)
+    return found.rows, wanted, found.budgets
 
 
 def test_mix_meets_shares_and_caps(spark):
     rows = records()
     targets = [("big_x", 0.5, 1), ("small_x", 0.3, 2), ("tiny_y", 0.2, 3), ("none_z", 0.0, 1), (None, 0.1, 1)]
-    chosen, wanted = run(spark, [*rows, rows[5], (None, 5, "big_x", "en", "", 0), (9999, 0, "big_x", "en", "", 0), (9998, None, "big_x", "en", "", 0)], targets)
+    chosen, wanted, _ = run(spark, [*rows, rows[5], (None, 5, "big_x", "en", "", 0), (9999, 0, "big_x", "en", "", 0), (9998, None, "big_x", "en", "", 0)], targets)
     got = chosen.collect()
     sizes = {r[0]: r for r in rows}
     caps = {t[0]: t[2] for t in targets}
@@ -159,5 +160,42 @@ def test_mix_is_reproducible_and_takes_budgets(spark):
 def test_mix_empty(spark):
     assert run(spark, [], [("a", 1.0, 1)])[0].count() == 0
     assert run(spark, records(), [])[0].count() == 0
-    chosen, wanted = run(spark, records(), [("gone", 0.5, 1), ("big_x", 0.5, None)])
+    chosen, wanted, _ = run(spark, records(), [("gone", 0.5, 1), ("big_x", 0.5, None)])
     assert {r.source: round(r.actual_share, 3) for r in mix_shares(chosen, wanted).collect()} == {"gone": 0.0, "big_x": 1.0}
+
+
+def test_budgets_add_up_and_shortages_find_takers(spark):
+    rows = records()
+    small = sum(r[1] for r in rows if r[2] == "small_x")
+    rows_, _, budgets = run(spark, rows, [("big_x", 0.1, 1), ("small_x", 0.8, 1), ("tiny_y", 0.1, 1)], total_tokens=2.0 * small)
+    found = {r.node: r for r in budgets.collect()}
+    assert {r.level for r in found.values()} == {1, 2, 3}
+    for node, r in found.items():
+        below = [x for n, x in found.items() if n.startswith(node + "/") and x.level == r.level + 1]
+        assert r.budget <= r.room + 1e-3 and r.budget == pytest.approx(r.asked - r.shortage + r.received, abs=0.01)
+        assert not below or sum(x.budget for x in below) == pytest.approx(r.budget, abs=0.1)
+    # within a language small_x falls short and big_x takes over; no domain does
+    for lang in ("de", "en", ""):
+        short, taker = found[f"x/{lang}/small_x"], found[f"x/{lang}/big_x"]
+        assert short.shortage > 0 and taker.received == pytest.approx(short.shortage, abs=1)
+    assert found["x"].shortage == found["y"].shortage == 0
+    used = {r.source: r.n for r in rows_.groupBy("source").agg(F.sum("used_tokens").alias("n")).collect()}
+    for source in used:
+        assert used[source] == pytest.approx(sum(r.budget for n, r in found.items() if n.endswith(f"/{source}") and r.level == 3), rel=0.01)
+
+
+def test_the_order_does_not_depend_on_slices(spark, monkeypatch):
+    import rostrum.llm.mixing as mixing
+
+    targets = [("big_x", 0.5, 1), ("small_x", 0.3, 1), ("tiny_y", 0.2, 1)]
+    found = []
+    for n in (50, 1_000_000):
+        monkeypatch.setattr(mixing, "SLICE_RECORDS", n)
+        found.append(sorted(map(tuple, run(spark, records(), targets, total_tokens=30_000)[0].collect()), key=repr))
+    assert found[0] == found[1]
+
+
+def test_an_id_of_two_sizes_counts_at_its_greatest(spark):
+    rows = [(1, 5, "a", "en", "", 0), (1, 50, "a", "en", "", 0), (2, 7, "a", "en", "", 0)]
+    got = run(spark, rows, [("a", 1.0, 1)])[0].collect()
+    assert sorted((r.id, r.tokens) for r in got) == [(1, 50), (2, 7)]

@@ -6,7 +6,7 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum.operators.search import bm25, capped_distinct, postings, query_terms
+from rostrum.operators.search import Index, bm25, capped_distinct, postings, purge, query_terms, text_key
 
 WORDS = ["thought", "thinking", "think", "äther", "étude", "naïve", "the", "sea", "seas", "straße", "x1"]
 
@@ -61,10 +61,29 @@ def sequential(rows, per, limit):
 def test_capped_list_is_the_sequential_pass(spark, seed):
     rng = random.Random(seed)
     data = [(i, rng.choice("ABCD"), rng.choice(["x", "y", "z", "x ", "w  w", "w w", f"u{i}"])) for i in range(300)]
-    df = spark.createDataFrame(data, "id int, grp string, text string")
-    got = capped_distinct(df, [F.col("id")], "grp", "text", 5, 12, batch=1).orderBy("rank")
-    assert [r.id for r in got.collect()] == sequential(data, 5, 12)
-    assert capped_distinct(df.limit(0), [F.col("id")], "grp", "text", 5, 12).count() == 0
+    df = spark.createDataFrame(data, "id int, grp string, text string").withColumn("key", text_key("text"))
+    for per, limit in ((5, 12), (12, 12), (1, 3), (3, 4), (2, 40), (20, 12)):
+        got = capped_distinct(df, [F.col("id")], "grp", "key", per, limit).orderBy("rank")
+        assert [r.id for r in got.collect()] == sequential(data, per, limit)
+    assert capped_distinct(df.limit(0), [F.col("id")], "grp", "key", 5, 12).count() == 0
+
+
+def test_a_kept_index_scores_as_a_scan_and_is_maintained(spark, tmp_path):
+    docs = corpus()
+    df = spark.createDataFrame([*docs, (900, None), (901, "")], "id bigint, text string")
+    rounded = lambda rows: {r.id: (r.doc_len, round(r.score, 9)) for r in rows.collect()}
+    index = Index.of(df, "id", "text").write(str(tmp_path / "index"))
+    for terms in (["think"], ["thou", "ether", "sea"], ["th"]):
+        assert rounded(index.search(terms)) == rounded(bm25(df, "text", terms)) != {}
+    assert index.search([]).count() == 0 and index.search(["zzz"]).count() == 0
+    assert "PartitionFilters: [isnotnull(bucket" in index.postings.filter("bucket = 3")._jdf.queryExecution().toString()
+    # removed and added rows
+    some, fresh = df.filter("id % 3 = 0"), spark.createDataFrame([(0, "thinking of the sea"), (1000, "sea")], "id bigint, text string")
+    left, counts = purge(index, some.select("id"))
+    assert counts["before"] - counts["removed"] == counts["after"] == df.filter("id % 3 <> 0").count()
+    assert rounded(left.search(["sea"])) == rounded(bm25(df.filter("id % 3 <> 0"), "text", ["sea"]))
+    again = index.add(Index.of(fresh, "id", "text"))
+    assert rounded(again.search(["sea"])) == rounded(bm25(df.filter("id <> 0").unionByName(fresh), "text", ["sea"]))
 
 
 def test_citations_of_every_kind_are_looked_for(spark):

@@ -37,7 +37,7 @@ LIST_SHARE, NEAR_SHARE, STITCHED_SHARE = 0.5, 0.42, 0.5
 LEAST_LIST_WORDS, LEAST_NEAR_WORDS = 12, 24
 CHUNK_TEXTS, CHUNK_WORDS = 20_000, 4_000_000
 #: Bytes of the pages' files whose phrases make a bucket; compressed texts give about five times as many.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 
 # What a sentence has at least: of all words function words, and words that make sentences; and what a repeated-keyword unit has.
 LEAST_FUNCTION, LEAST_SENTENCE, KEYWORD_SHARE, KEYWORD_FUNCTION = 0.15, 0.1, 0.9, 0.5
@@ -59,15 +59,23 @@ def list_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return words, np.bincount(units.text, np.where(prose, 0, units.words), n).astype(np.int64), text, word
 
 
+def _carried(phrase: np.ndarray, hosts: np.ndarray, least_hosts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted phrases where each begins, and whether so many of the hosts beside it carry it. Hosts of phrases that stand but once are not looked at."""
+    first = np.append(True, phrase[1:] != phrase[:-1])
+    size = np.diff(np.append(np.flatnonzero(first), len(phrase)))
+    many = size >= least_hosts
+    at = np.flatnonzero(np.repeat(many, size))
+    number = np.repeat(np.arange(int(many.sum())), size[many])
+    pairs = np.unique((number.astype(np.uint64) << np.uint64(32)) | hosts[at].astype(np.uint64))
+    many[many] = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=int(many.sum())) >= least_hosts
+    return first, many
+
+
 def _settle(entries: np.ndarray, hosts: np.ndarray, least_hosts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of entries sorted by phrase: those that are open here, one of each phrase that enough hosts here carry, and how many such phrases each page has."""
-    phrase, page = entries >> np.uint64(16), (entries & np.uint64(0xFFFF)).astype(np.int64)
-    code = np.unique(hosts, return_inverse=True)[1]
-    first = np.append(True, phrase[1:] != phrase[:-1])
-    number = np.cumsum(first) - 1
-    pairs = np.unique((number.astype(np.uint64) << np.uint64(32)) | code[page].astype(np.uint64))
-    known = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=int(number[-1]) + 1) >= least_hosts
-    settled = known[number]
+    page = (entries & np.uint64(0xFFFF)).astype(np.int64)
+    first, known = _carried(entries >> np.uint64(16), np.unique(hosts, return_inverse=True)[1][page], least_hosts)
+    settled = np.repeat(known, np.diff(np.append(np.flatnonzero(first), len(entries))))
     return entries[~settled], entries[first & settled], np.bincount(page[settled], minlength=len(hosts))
 
 
@@ -164,12 +172,17 @@ def _count_hosts(least_hosts: int):
             return
         id_, host = np.concatenate(ids), np.unique(np.concatenate(hosts), return_inverse=True)[1]
         signature, pages = np.concatenate(sig), np.concatenate(page)
-        phrase, number = np.unique(signature, return_inverse=True)
-        pairs = np.unique((number.astype(np.uint64) << np.uint64(32)) | host[pages].astype(np.uint64))
-        many = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(phrase)) >= least_hosts
-        many |= np.isin(phrase, np.concatenate(names))
-        found = many[number]
-        counts = np.bincount(pages[found], minlength=total)
+        order = np.argsort(signature, kind="stable")  # of sorted runs
+        signature, pages = signature[order], pages[order]
+        known = np.concatenate(names)
+        if len(signature):
+            first, many = _carried(signature, host[pages], least_hosts)
+            phrase = signature[first]
+            if len(known):
+                at = np.minimum(np.searchsorted(phrase, known), len(phrase) - 1)
+                many[at[phrase[at] == known]] = True
+            pages = pages[np.repeat(many, np.diff(np.append(np.flatnonzero(first), len(signature))))]
+        counts = np.bincount(pages, minlength=total)
         at = np.flatnonzero(counts)
         zero = np.zeros(len(at), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (id_[at], zero, zero, zero, counts[at])], schema=EVIDENCE)

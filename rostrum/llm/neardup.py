@@ -14,8 +14,10 @@ into one class. A text is therefore announced under every two prefix shingles of
 one class. Two shingles together are rare where one alone is not, so nearly all
 texts that meet are alike. Sizes are cut into bands, each with its own g.
 
-Groups. Texts with the same prefix and size are announced as one group, under a
-hash of both; exact copies are such a group. Announcements are dealt to buckets
+Groups. Texts with the same prefix and size are announced as one group, whose name
+of six bytes is a hash of both and the size in steps of a twentieth; exact copies
+are such a group. Should two groups get one name, their members are verified like
+those of one. Announcements are dealt to buckets
 by signature, as many as the sets' size asks for, so that a bucket is as large
 for any number of texts; groups under a signature that very many share meet in a
 join that is cut into blocks. Groups that meet are filtered by size, then
@@ -48,11 +50,13 @@ FILTER_BITS = 24
 CHUNK_TEXTS = 20_000
 CHUNK_SHINGLES = 2_000_000
 #: Bytes of sets whose announcements make a bucket; these take about twice as many.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 #: Groups under one signature that are paired within a task; those of longer lists meet in a join.
 HOT = 2_000
 #: Smallest set that is announced under two shingles; smaller ones go under one.
 LEAST_PAIRED = 32
+#: Sizes are told apart by this factor in a group's name.
+SIZE_STEP = 1.05
 BAND_FACTOR = 8
 
 SETS = pa.schema([("id", pa.int64()), ("set_hash", pa.int64()), ("n", pa.int32()), ("shingles", pa.binary())])
@@ -193,6 +197,7 @@ def _announce_chunk(ids: np.ndarray, set_hash: np.ndarray, n: np.ndarray, shingl
     longest = np.maximum.reduce(lengths)
     running = np.append(np.uint64(0), np.cumsum(mix(shingles.astype(np.uint64) + np.uint64(7))))
     group = mix(running[bounds[:-1] + longest] - running[bounds[:-1]] + mix(n.astype(np.uint64)))
+    group = ((group >> np.uint64(24)) << np.uint64(8)) | np.minimum(np.log(n) / np.log(SIZE_STEP), 255).astype(np.uint64)
     found = []
     for band, length in zip(plan, lengths, strict=True):
         use = position < length[row]
@@ -214,34 +219,40 @@ def _announce_chunk(ids: np.ndarray, set_hash: np.ndarray, n: np.ndarray, shingl
     bucket = (signature >> np.uint64(32)) % np.uint64(buckets)
     entries = np.sort((bucket << np.uint64(48)) | ((signature & np.uint64(0xFFFFFFFF)) << np.uint64(16)) | owner)
     cuts = np.searchsorted(entries >> np.uint64(48), np.arange(buckets + 1, dtype=np.uint64))
-    home = (group[place] >> np.uint64(33)) % np.uint64(buckets)
+    home = mix(group[place]) % np.uint64(buckets)
     by_home = np.argsort(home, kind="stable")
     home_cuts = np.searchsorted(home[by_home], np.arange(buckets + 1, dtype=np.uint64))
     for x in range(buckets):
         part = entries[cuts[x] : cuts[x + 1]]
         members = by_home[home_cuts[x] : home_cuts[x + 1]]
         if len(part) or len(members):
-            yield x, _encode(part, group, n, group[place[members]], member_sets[members], member_ids[members])
+            yield x, _encode(part, group, group[place[members]], member_sets[members], member_ids[members])
 
 
-def _encode(entries: np.ndarray, group: np.ndarray, n: np.ndarray, member_group: np.ndarray, member_set: np.ndarray, member_id: np.ndarray) -> bytes:
-    owner = (entries & np.uint64(0xFFFF)).astype(np.int64)
-    used, local = np.unique(owner, return_inverse=True)
+def _six(names: np.ndarray) -> np.ndarray:
+    return names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _encode(entries: np.ndarray, group: np.ndarray, member_group: np.ndarray, member_set: np.ndarray, member_id: np.ndarray) -> bytes:
+    """Signatures, each with the name of its group: as many bytes an announcement for any number of buckets."""
     sig = ((entries >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(">u4")
-    planes = np.ascontiguousarray(sig.view(np.uint8).reshape(-1, 4).T) if len(sig) else np.empty(0, np.uint8)  # sorted: the upper bytes compress away
-    head = np.array([len(used), len(owner), len(member_id)], np.int64)
-    return b"".join(x.tobytes() for x in (head, group[used], n[used].astype(np.uint32), planes, local.astype(np.uint16), member_group.view(np.int64), member_set, member_id))
+    planes = np.ascontiguousarray(sig.view(np.uint8).reshape(-1, 4).T)  # sorted: the upper bytes compress away
+    names = group[(entries & np.uint64(0xFFFF)).astype(np.int64)].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    head = np.array([len(entries), len(member_id)], np.int64)
+    return b"".join(x.tobytes() for x in (head, planes, names, member_group.view(np.int64), member_set, member_id))
 
 
 def _decode(blob: bytes) -> tuple[np.ndarray, ...]:
-    head = np.frombuffer(blob, np.int64, 3)
-    at = 24
-    out = []
-    for count, kind in ((head[0], np.uint64), (head[0], np.uint32), (head[1] * 4, np.uint8), (head[1], np.uint16), (head[2], np.int64), (head[2], np.int64), (head[2], np.int64)):
-        out.append(np.frombuffer(blob, kind, int(count), at))
+    """signature and group of each announcement; group, set and id of each member."""
+    entries, members = (int(x) for x in np.frombuffer(blob, np.int64, 2))
+    at, out = 16, []
+    for count, kind in ((entries * 4, np.uint8), (entries * 6, np.uint8), (members, np.int64), (members, np.int64), (members, np.int64)):
+        out.append(np.frombuffer(blob, kind, count, at))
         at += out[-1].nbytes
-    out[2] = np.ascontiguousarray(out[2].reshape(4, -1).T).view(">u4").ravel().astype(np.uint64)
-    return tuple(out)
+    wide = np.zeros((entries, 8), np.uint8)
+    wide[:, :6] = out[1].reshape(-1, 6)
+    sig = np.ascontiguousarray(out[0].reshape(4, -1).T).view(">u4").ravel().astype(np.uint64)
+    return sig, wide.view("<u8").ravel().astype(np.uint64), *out[2:]
 
 
 def _announce(plan: list[Band], t: Fraction, ranks_of, buckets: int):
@@ -271,37 +282,41 @@ def _announce(plan: list[Band], t: Fraction, ranks_of, buckets: int):
     return run
 
 
+def _code_reach(t: Fraction) -> int:
+    """How far the size codes of alike sets can lie apart."""
+    return int(np.log(float(1 / t)) / np.log(SIZE_STEP)) + 1
+
+
 def _meet(t: Fraction, hot: int):
     """Within a bucket: groups that were announced under one signature (0), the members of groups (1), and the groups under a signature that more than `hot` have (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
-        total = bucket = 0
+        bucket = 0
         for b in batches:
             bucket = b.column(0)[0].as_py() if len(b) else bucket
             for blob in b.column(1):
-                group, n, sig, local, *members = _decode(blob.as_buffer().to_pybytes())
+                sig, group, *members = _decode(blob.as_buffer().to_pybytes())
                 if len(members[0]):
                     yield _rows(1, members[0], members[1], members[2])
-                parts.append((group, n, sig, local.astype(np.int64) + total))
-                total += len(group)
+                parts.append((sig, group))
         if not parts:
             return
-        group, n, sig, local = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        sig, group = (np.concatenate([p[i] for p in parts]) for i in range(2))
         parts.clear()
-        group, first, number = np.unique(group, return_index=True, return_inverse=True)
-        n = n[first].astype(np.int64)
-        keys = np.unique((sig << np.uint64(32)) | number[local].astype(np.uint64))
+        group, number = np.unique(group, return_inverse=True)
+        size_code = (group & np.uint64(0xFF)).astype(np.int64)
+        keys = np.unique((sig << np.uint64(32)) | number.astype(np.uint64))
         sig, number = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
         size = np.diff(np.append(first, len(sig)))
         if (size > hot).any():
             many = np.repeat(size > hot, size)
-            yield _rows(2, (sig[many] | np.uint64(bucket << 32)).view(np.int64), group[number[many]].view(np.int64), n[number[many]])
+            yield _rows(2, (sig[many] | np.uint64(bucket << 32)).view(np.int64), group[number[many]].view(np.int64), size_code[number[many]])
             sig, number = sig[~many], number[~many]
         held, count = [], 0
         for a, b in _pairs_of_runs(sig, number):
-            close = np.minimum(n[a], n[b]) * t.denominator >= np.maximum(n[a], n[b]) * t.numerator
+            close = np.abs(size_code[a] - size_code[b]) <= _code_reach(t)
             held.append((a[close].astype(np.uint64) << np.uint64(32)) | b[close].astype(np.uint64))
             count += len(held[-1])
             if count > 8_000_000:
@@ -365,12 +380,12 @@ def _overlaps(t: Fraction):
 
 def _hot_pairs(met: DataFrame, t: Fraction, hot: int) -> DataFrame:
     """Groups a < b of fitting sizes under a signature with very many: a join by signature and block, each of at most about `hot` groups."""
-    rows = met.filter("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("grp"), F.col("id").alias("n"))
+    rows = met.filter("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("grp"), F.col("id").alias("code"))
     blocks = rows.groupBy("sig").agg(F.ceil(F.count("*") / hot).cast("bigint").alias("blocks"))
     rows = rows.join(blocks, "sig").withColumn("block", F.pmod(F.xxhash64("grp"), F.col("blocks")))
-    left = rows.select("sig", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("grp").alias("a"), F.col("n").alias("n_a"))
-    right = rows.select("sig", "block", F.col("grp").alias("b"), F.col("n").alias("n_b"))
-    close = F.least("n_a", "n_b") * t.denominator >= F.greatest("n_a", "n_b") * t.numerator
+    left = rows.select("sig", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("grp").alias("a"), F.col("code").alias("code_a"))
+    right = rows.select("sig", "block", F.col("grp").alias("b"), F.col("code").alias("code_b"))
+    close = F.abs(F.col("code_a") - F.col("code_b")) <= _code_reach(t)
     return left.join(right, ["sig", "block"]).filter((F.col("a") < F.col("b")) & close).select("a", "b")
 
 

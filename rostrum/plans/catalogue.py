@@ -165,15 +165,18 @@ def compact_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tier_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items whose stored tier or inclusion differs, null-safely, from what the event type says."""
-    rows = items(spark, sf_dir).select("id", "corpus_tier", "corpus_include", corpus_tier("event_type").alias("tier"))
+    """Items and transcripts whose stored tier (of items also the inclusion) differs, null-safely, from what the event type says."""
+    rows = items(spark, sf_dir).select(F.lit("items").alias("held_in"), "id", "corpus_tier", "corpus_include", corpus_tier("event_type").alias("tier"))
     rows = rows.withColumn("include", (F.col("tier") != "X").cast("int"))
-    return rows.filter(~F.col("corpus_tier").eqNullSafe(F.col("tier")) | ~F.col("corpus_include").eqNullSafe(F.col("include"))).select("id", "tier", "include")
+    held = table(spark, sf_dir, "transcripts", "id", "corpus_tier", "event_type").dropDuplicates(["id"])
+    held = held.select(F.lit("transcripts").alias("held_in"), "id", "corpus_tier", F.lit(None).cast("int").alias("corpus_include"), corpus_tier("event_type").alias("tier"), F.lit(None).cast("int").alias("include"))
+    rows = rows.unionByName(held).filter(~F.col("corpus_tier").eqNullSafe(F.col("tier")) | ~F.col("corpus_include").eqNullSafe(F.col("include")))
+    return rows.select("held_in", "id", "tier", "include")
 
 
 def _first_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "items", "id", "title", "place_name", "media_type", "updated_at")
-    return rows.groupBy("id").agg(F.min_by(F.struct("title", "place_name", "media_type"), "updated_at").alias("x")).select("id", "x.*")
+    rows = table(spark, sf_dir, "items", "id", "title", "place_name", "media_type", "deleted_at", "updated_at")
+    return rows.groupBy("id").agg(F.min_by(F.struct("title", "place_name", "media_type", "deleted_at"), "updated_at").alias("x")).select("id", "x.*")
 
 
 def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,8 +188,8 @@ def item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions to append where an item's last row says something else than its first."""
-    versions = _first_version(spark, sf_dir).select("id", F.lit(1).alias("version"), "title", "place_name")
-    return next_versions(versions, items(spark, sf_dir).select("id", "title", "place_name"), "id", ["title", "place_name"])
+    versions = _first_version(spark, sf_dir).select("id", F.lit(1).alias("version"), "title", "place_name", "deleted_at")
+    return next_versions(versions, items(spark, sf_dir).select("id", "title", "place_name", "deleted_at"), "id", ["title", "place_name", "deleted_at"])
 
 
 def media_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,11 +284,12 @@ ORACLE = {
       SELECT code, CASE WHEN a.code IS NULL THEN 'transcripts' WHEN b.code IS NULL THEN 'catalogue' ELSE 'both' END AS side FROM a FULL JOIN b USING (code)""",
     "compact_list": f"""WITH {_IT} SELECT 'series' AS row_kind, series_code AS key, count(*) AS episodes, CAST(coalesce(sum(duration_minutes), 0) AS BIGINT) AS minutes FROM it WHERE trim(series_code) <> '' GROUP BY series_code
       UNION ALL SELECT 'item', code, 1, CAST(coalesce(duration_minutes, 0) AS BIGINT) FROM it WHERE series_code IS NULL OR trim(series_code) = ''""",
-    "tier_changes": f"WITH {_IT}, x AS (SELECT id, corpus_tier, corpus_include, {_TIER} AS tier FROM it) SELECT id, tier, CAST(tier <> 'X' AS INT) AS include FROM x WHERE corpus_tier IS DISTINCT FROM tier OR corpus_include IS DISTINCT FROM CAST(tier <> 'X' AS INT)",
+    "tier_changes": f"""WITH {_IT}, x AS (SELECT 'items' AS held_in, id, corpus_tier, corpus_include, {_TIER} AS tier FROM it), y AS (SELECT *, CAST(tier <> 'X' AS INT) AS include FROM x
+      UNION ALL SELECT 'transcripts', id, corpus_tier, NULL, {_TIER}, NULL FROM (SELECT DISTINCT * FROM transcripts)) SELECT held_in, id, tier, include FROM y WHERE corpus_tier IS DISTINCT FROM tier OR corpus_include IS DISTINCT FROM include""",
     "item_changes": f"""WITH {_IT}, {_FIRST}, d AS (SELECT id, title, place_name FROM it WHERE deleted_at IS NULL), c AS (SELECT id, title, place_name FROM fi WHERE media_type IS NOT NULL)
       SELECT id, CASE WHEN c.rowid_ IS NULL THEN 'insert' WHEN d.rowid_ IS NULL THEN 'delete' WHEN c.title IS NOT DISTINCT FROM d.title AND c.place_name IS NOT DISTINCT FROM d.place_name THEN 'keep' ELSE 'update' END AS change
       FROM (SELECT *, 1 AS rowid_ FROM c) c FULL JOIN (SELECT *, 1 AS rowid_ FROM d) d USING (id)""",
-    "item_versions": f"WITH {_IT}, {_FIRST} SELECT it.id, 2 AS version, it.title, it.place_name FROM it JOIN fi USING (id) WHERE it.title IS DISTINCT FROM fi.title OR it.place_name IS DISTINCT FROM fi.place_name",
+    "item_versions": f"WITH {_IT}, {_FIRST} SELECT it.id, 2 AS version, it.title, it.place_name, it.deleted_at FROM it JOIN fi USING (id) WHERE it.title IS DISTINCT FROM fi.title OR it.place_name IS DISTINCT FROM fi.place_name OR it.deleted_at IS DISTINCT FROM fi.deleted_at",
     "media_upsert": """WITH m AS (SELECT DISTINCT id, item_id, media, status, file_size FROM item_media WHERE item_id IS NOT NULL),
       x AS (SELECT item_id, media, arg_min(file_size, id) FILTER (true) AS f0, max(id) AS id, min(id) AS first_id FROM m GROUP BY ALL)
       SELECT x.item_id, x.media, x.id, l.status, coalesce(l.file_size, f.file_size) AS file_size FROM x JOIN m l ON l.id = x.id JOIN m f ON f.id = x.first_id""",

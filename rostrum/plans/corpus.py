@@ -7,12 +7,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions.text import corpus_tier, percent, timecode, word_count
-from rostrum.operators.attribution import passage_bounds, ends_sentence, quality_rules
+from rostrum.operators.attribution import ABBREVIATIONS, LEAST_TAIL, MARKS, MOST_WORDS, TARGET_WORDS, admitted_labels, ends_sentence, passage_bounds, quality_rules
 from rostrum.operators.joins import band_join, close_calls, misattributed, nearest, reanchor
 from rostrum.operators.quality import citation_states
-from rostrum.session import r6, table
+from rostrum.session import r6, sql_list, table
 
 SPEAKERS = ["K", "Q", "ANN", "UNK"]
+#: Labels that name a speaker wherever they stand.
+SEEDS = {"k": "K", "ostry": "K", "mr ostry": "K", "q": "Q", "question": "Q", "questioner": "Q", "audience": "Q"}
 
 
 def segments(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
@@ -81,11 +83,11 @@ def question_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     asks = F.coalesce(F.col("text").contains("?"), F.lit(False)).alias("asks")
     rows = segments(spark, sf_dir, "transcript_id", "seq", "speaker_code", "raw_label", _words(), asks)
     rows = rows.select("id", "transcript_id", "speaker_code", "raw_label", F.row_number().over(order).alias("n"), F.sum("words").over(upto).alias("total"), "words", F.count("raw_label").over(upto).alias("labels"), "asks")
-    asked = rows.filter("speaker_code = 'Q' and raw_label is not null").select("id", "transcript_id", F.col("n").alias("first"), (F.col("total") - F.col("words")).alias("before"), F.col("labels").alias("own_labels"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("step"))
-    asked = asked.withColumn("n", F.col("first") + F.col("step"))
-    near = asked.join(rows.select("transcript_id", "n", "total", "labels", "asks"), ["transcript_id", "n"])
-    fits = (F.col("total") - F.col("before") <= 180) & (F.col("labels") == F.col("own_labels")) & F.col("asks")
-    return near.groupBy("id", "transcript_id").agg((F.coalesce(F.max(F.when(fits, F.col("step"))), F.lit(0)) + 1).cast("bigint").alias("question_segments"))
+    # the next twelve rows of the same sort order, without a join
+    near = F.collect_list(F.struct("total", "labels", "asks")).over(Window.partitionBy("transcript_id").orderBy("n").rowsBetween(0, 11))
+    rows = rows.withColumn("near", near).filter("speaker_code = 'Q' and raw_label is not null")
+    fits = F.transform("near", lambda x, i: F.when((x["total"] - F.col("total") + F.col("words") <= 180) & (x["labels"] == F.col("labels")) & x["asks"], i))
+    return rows.select("id", "transcript_id", (F.coalesce(F.array_max(fits), F.lit(0)) + 1).cast("bigint").alias("question_segments"))
 
 
 def transcript_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +182,20 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "transcript_id", "seq", F.posexplode(cut("text")).alias("passage", "p")).select("id", "transcript_id", "seq", "passage", "p.first", "p.words", "p.text")
 
 
+def label_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that each transcript admits, with the speaker they stand for and how often they occur at the head of a segment or within."""
+    cues = segments(spark, sf_dir, "transcript_id", F.regexp_replace("raw_label", r"[.:]+$", "").alias("label"), "text")
+    return admitted_labels(cues, "transcript_id", SEEDS)
+
+
+def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the announcer says, and whether it is an introduction: before the main speaker has said anything."""
+    rows = segments(spark, sf_dir, "transcript_id", "seq", "speaker_code")
+    before = Window.partitionBy("transcript_id").orderBy("seq", "id").rowsBetween(Window.unboundedPreceding, -1)
+    spoke = F.coalesce(F.max((F.col("speaker_code") == "K").cast("int")).over(before), F.lit(0))
+    return rows.withColumn("intro", spoke == 0).filter("speaker_code = 'ANN'").select("id", "transcript_id", "intro")
+
+
 def passage_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per segment after cutting into passages: none is lost."""
     return passages(spark, sf_dir).groupBy("id").agg(F.sum("words").cast("bigint").alias("words"))
@@ -195,7 +211,7 @@ QUERIES = {
     "speaker_share": speaker_share, "tier_rollup": tier_rollup, "turns_merged": turns_merged, "answers_link": answers_link, "carried_labels": carried_labels,
     "question_ends": question_ends, "transcript_quality": transcript_quality, "overlapping_speech": overlapping_speech, "nearest_answer": nearest_answer,
     "citation_check": citation_check, "reanchored": reanchored, "misattributed_sources": misattributed_sources, "misattributed_close_calls": misattributed_close_calls, "stale_counts": stale_counts,
-    "passages": passages, "passage_words": passage_words, "speech_times": speech_times,
+    "passages": passages, "passage_words": passage_words, "label_registry": label_registry, "announcements": announcements, "speech_times": speech_times,
 }
 
 _SEG = "seg AS (SELECT * EXCLUDE (loaded_at) FROM segments QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1)"
@@ -210,7 +226,26 @@ ch AS (SELECT *, CASE WHEN code = lag(code) OVER (PARTITION BY transcript_id ORD
 tn AS (SELECT *, sum(change) OVER (PARTITION BY transcript_id ORDER BY seq, id ROWS UNBOUNDED PRECEDING) AS turn FROM ch),
 turns AS (SELECT transcript_id, CAST(turn AS BIGINT) AS turn, any_value(code) AS speaker, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS segments, arg_min(coalesce(attribution, ''), (seq, id)) AS attribution FROM tn GROUP BY transcript_id, turn)"""
 
+_MARKS = MARKS.replace("'", "''")
+#: Passages: the words, where sentences end, and a walk from cut to cut; a short tail joins the passage before.
+_PASSAGES = rf"""s AS (SELECT DISTINCT id, transcript_id, seq, text FROM segments WHERE speaker_code = 'K' AND text IS NOT NULL),
+w AS (SELECT *, regexp_extract_all(text, '\S+') AS ws FROM s), c AS (SELECT *, list_transform(ws, lambda x: trim(x, '{_MARKS}')) AS cores FROM w WHERE len(ws) > 0),
+b AS (SELECT *, len(ws) AS n, list_filter(range(1, len(ws) + 1), lambda i: regexp_full_match(cores[i], '(?s).*[^.?!…][.?!]+') AND NOT ends_with(cores[i], '..')
+  AND NOT (ends_with(cores[i], '.') AND regexp_full_match(cores[i], '\p{{Lu}}{{1,2}}[.?!]+')) AND lower(rtrim(cores[i], '.?!')) NOT IN ({sql_list(sorted(ABBREVIATIONS))})) AS ends FROM c),
+walk AS (SELECT id, 0 AS k, 0::BIGINT AS start, 0::BIGINT AS cut FROM b
+  UNION ALL SELECT b.id, k + 1, cut, least(n, cut + {MOST_WORDS}, coalesce(list_min(list_filter(ends, lambda e: e >= cut + {TARGET_WORDS})), n)) FROM walk JOIN b ON b.id = walk.id WHERE cut < n),
+cuts AS (SELECT *, max(k) OVER (PARTITION BY id) AS last FROM walk WHERE k > 0),
+tails AS (SELECT id FROM cuts WHERE k = last AND last > 1 AND cut - start < {LEAST_TAIL}),
+pieces AS (SELECT c.id, k, start, CASE WHEN t.id IS NOT NULL AND k = last - 1 THEN NULL ELSE cut END AS cut FROM cuts c LEFT JOIN tails t ON t.id = c.id WHERE t.id IS NULL OR k < last)"""
+
 ORACLE = {
+    "passages": f"""WITH RECURSIVE {_PASSAGES} SELECT p.id, b.transcript_id, b.seq, CAST(k - 1 AS INT) AS passage, CAST(start AS INT) AS first, CAST(coalesce(cut, n) - start AS INT) AS words, array_to_string(ws[start + 1:coalesce(cut, n)], ' ') AS text FROM pieces p JOIN b ON b.id = p.id""",
+    "label_registry": rf"""WITH {_SEG}, x AS (SELECT transcript_id, regexp_replace(raw_label, '[.:]+$', '') AS l FROM seg WHERE raw_label IS NOT NULL
+        UNION ALL SELECT transcript_id, unnest(regexp_extract_all(text, '(?i)[^A-Za-z0-9
+]({"|".join(sorted(SEEDS, key=lambda s: (-len(s), s)))}):', 1)) FROM seg),
+      m(name, code) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in SEEDS.items())}), n AS (SELECT transcript_id, l AS raw_label, count(*) AS hits FROM x GROUP BY ALL)
+      SELECT transcript_id, raw_label, coalesce(m.code, upper(raw_label)) AS speaker_code, hits FROM n LEFT JOIN m ON m.name = lower(trim(raw_label)) WHERE m.code IS NOT NULL OR (hits >= 2 AND regexp_full_match(raw_label, '[A-Z][A-Z0-9]{{0,3}}'))""",
+    "announcements": f"WITH {_SEG}, x AS (SELECT id, transcript_id, speaker_code, coalesce(max((speaker_code = 'K')::INT) OVER (PARTITION BY transcript_id ORDER BY seq, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS intro FROM seg) SELECT id, transcript_id, intro FROM x WHERE speaker_code = 'ANN'",
     "speaker_share": f"""WITH {_SEG}, w AS (SELECT *, {_W} AS n, coalesce(greatest(t_end - t_start, 0), 0) AS span FROM seg),
       s AS (SELECT transcript_id, CAST(sum(n) AS BIGINT) AS words, CAST(sum(round(span * 1000)) AS BIGINT) AS ms, {", ".join(f"CAST(coalesce(sum(n) FILTER (speaker_code = '{s}'), 0) AS BIGINT) AS words_{s.lower()}" for s in SPEAKERS)} FROM w GROUP BY transcript_id)
       SELECT *, {", ".join(f"round(CASE WHEN words = 0 THEN 0 ELSE 100.0::DOUBLE * words_{s.lower()} / words END, 6) AS pct_{s.lower()}" for s in SPEAKERS)} FROM s""",
@@ -248,9 +283,9 @@ ORACLE = {
       o AS (SELECT transcript_id, sha, count(*) AS places, min(seq) AS only_seq FROM n GROUP BY ALL), e AS (SELECT DISTINCT transcript_id, sha, seq, true AS same FROM n),
       f AS (SELECT a.anchor_id, CASE WHEN e.same THEN a.seq WHEN o.places = 1 THEN o.only_seq END AS live_seq FROM a LEFT JOIN e USING (transcript_id, sha, seq) LEFT JOIN o USING (transcript_id, sha))
       SELECT anchor_id, CASE WHEN live_seq IS NULL THEN 'stale' ELSE 'live' END AS status, live_seq FROM f""",
-    "misattributed_sources": f"""WITH {_TR}, {_IT}, r AS (SELECT tr.id, tr.source_path, count(*) OVER (PARTITION BY source_path) AS n, row_number() OVER w AS place, first_value(tr.id) OVER w AS keeper
-        FROM tr LEFT JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL WINDOW w AS (PARTITION BY source_path ORDER BY abs(tr.duration_secs - it.duration_minutes * 60.0) NULLS LAST, tr.id))
-      SELECT id AS transcript_id, source_path, keeper AS keeper_id FROM r WHERE n > 1 AND place > 1""",
+    "misattributed_sources": f"""WITH {_TR}, {_IT}, c AS (SELECT tr.id, tr.source_path, abs(tr.duration_secs - it.duration_minutes * 60.0) AS drift, it.duration_minutes * 60.0 AS expected FROM tr LEFT JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL),
+      f AS (SELECT source_path, arg_min(id, (drift, id)) AS keeper_id FROM c WHERE expected <> 0 AND drift <= greatest(180.0, 0.08 * expected) GROUP BY source_path)
+      SELECT c.id AS transcript_id, c.source_path, f.keeper_id FROM c LEFT JOIN f USING (source_path) WHERE c.id IS DISTINCT FROM f.keeper_id AND c.source_path IN (SELECT source_path FROM c GROUP BY source_path HAVING count(*) > 1)""",
     "misattributed_close_calls": f"""WITH {_TR}, {_IT}, r AS (SELECT tr.id, tr.source_path, abs(tr.duration_secs - it.duration_minutes * 60.0) AS drift, it.duration_minutes * 60.0 AS expected FROM tr JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL),
       f AS (SELECT source_path, list(id ORDER BY drift, id) AS ids FROM r WHERE expected <> 0 AND drift <= greatest(180.0, 0.08 * expected) GROUP BY source_path HAVING count(*) > 1)
       SELECT source_path, ids[1] AS keeper_id, ids[2:] AS runners_up FROM f""",

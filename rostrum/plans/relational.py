@@ -37,8 +37,8 @@ def top_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idle_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without orders."""
-    orders = table(spark, sf_dir, "orders", "o_custkey")
+    """Customers without orders since 1998."""
+    orders = table(spark, sf_dir, "orders", "o_custkey", "o_orderdate").filter("o_orderdate >= '1998-01-01'").drop("o_orderdate")
     return table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
 
 
@@ -140,7 +140,7 @@ ORACLE = {
     "pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_net, round(avg(l_discount), 6) AS avg_disc, count(*) AS lines FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL",
     "region_revenue": "SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL",
     "top_lines": "SELECT l_orderkey, arg_min(l_linenumber, (-l_extendedprice, l_linenumber)) AS line FROM lineitem GROUP BY l_orderkey",
-    "idle_customers": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "idle_customers": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= '1998-01-01')",
     "supplier_status": "SELECT s_suppkey, count(l_suppkey) AS returned FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_returnflag = 'R' GROUP BY s_suppkey",
     "event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY ALL",
     "event_sessions": """WITH l AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

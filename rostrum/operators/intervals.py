@@ -1,17 +1,19 @@
 """Overlapping and gapped time intervals.
 
-The aggregate is a sorted list of disjoint intervals. It is mergeable: two
-partial lists combine by one linear pass, in any order and any number of times,
-so repeated rows change nothing. The reduction is a tree:
+The aggregate is a sorted list of disjoint intervals. It is mergeable: partial
+lists combine by one linear pass, in any order and any number of times, so
+repeated rows change nothing. The reduction is a tree:
 
 1. Each map task turns its rows into partial lists, one per owner and time cell.
-2. After one shuffle by (owner, cell) the partial lists of a cell are merged.
-   A cell list is bounded by the cell's length over the tolerance, however many
-   rows it came from, so an owner with a third of all rows is spread over its
-   cells and never gathered into one task.
-3. Windows over one small summary row per cell carry the latest end and the
+2. Where there are many map tasks, lists of a cell are first merged for groups of
+   `FAN` tasks, and those again, until at most so many are left for a cell.
+3. After the last shuffle, by (owner, cell), the partial lists of a cell are
+   merged as they stream in. A cell list is bounded by the cell's length over the
+   tolerance, however many rows it came from, so an owner with a third of all rows
+   is spread over its cells and never gathered into one task.
+4. Windows over one small summary row per cell carry the latest end and the
    latest start of a period from cell to cell.
-4. Each cell then emits its periods and the complement gaps before them.
+5. Each cell then emits its periods and the complement gaps before them.
 """
 
 from __future__ import annotations
@@ -23,11 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.session import partitions
+from rostrum.session import materialize, size_in_bytes
 
 #: Half an hour: at the default tolerance a cell list has at most 1,200 intervals.
 CELL_MS = 1_800_000
 TOLERANCE_MS = 1_500
+#: Partial lists that are merged at a node of the tree, and rows that a map task merges at once.
+FAN, TASK_ROWS = 64, 200_000
+#: Bytes that a map task reads, about.
+TASK_BYTES = 16 << 20
 
 LISTS = "owner bigint, cell bigint, starts array<bigint>, ends array<bigint>, syn_starts array<bigint>, syn_ends array<bigint>"
 OPENINGS = "owner bigint, cell bigint, opens array<bigint>, before array<bigint>, synthetic array<boolean>"
@@ -41,7 +47,7 @@ def merge_intervals(key: np.ndarray, start: np.ndarray, end: np.ndarray, toleran
     """
     if not len(key):
         return key, start, end
-    order = np.lexsort((end, start, key))
+    order = _merge_order(key, start)
     key, start, end = key[order], start[order], end[order]
     first = np.r_[True, key[1:] != key[:-1]]
     latest = running_max(first, end)
@@ -50,6 +56,15 @@ def merge_intervals(key: np.ndarray, start: np.ndarray, end: np.ndarray, toleran
     return key[at], start[at], np.maximum.reduceat(end, at)
 
 
+def _merge_order(key: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The order by key and start. Partial lists are sorted runs, which the stable sort finds and merges in linear passes."""
+    low, high = int(start.min()), int(start.max())
+    first = int(key.min())
+    if (int(key.max()) - first + 1) * (high - low + 1) < 2**62:
+        return np.argsort((key - first) * (high - low + 1) + (start - low), kind="stable")
+    return np.lexsort((start, key))
+
+
 def running_max(first: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Running maximum that begins anew where `first` is true."""
     low, high = int(value.min()), int(value.max())
@@ -79,12 +94,24 @@ def _list_batch(owner: np.ndarray, cell: np.ndarray, kind: np.ndarray, start: np
 
 def _partial(tolerance: int, cell_ms: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            owner, kind, start, end = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            owner, kind, start, end = (np.concatenate(x) for x in zip(*held, strict=True))
             out = _list_batch(owner, start // cell_ms, kind, start, end, tolerance)
             if out is not None:
                 yield out
 
+        for b in batches:
+            held.append(tuple(b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)))
+            count += len(b)
+            if count >= TASK_ROWS:
+                yield from flush()
+                held, count = [], 0
+        if held:
+            yield from flush()
+
     return run
 
 
@@ -93,27 +120,26 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     parts = []
     for which, (s, e) in enumerate(((2, 3), (4, 5))):
         starts, ends = batch.column(s), batch.column(e)
-        row = np.repeat(np.arange(len(batch)), np.diff(starts.offsets.to_numpy()))
+        row = np.repeat(np.arange(len(batch)), np.diff(starts.offsets.to_numpy()))  # of a slice: its own offsets
         parts.append((owner[row], cell[row], np.full(len(row), which), starts.flatten().to_numpy(), ends.flatten().to_numpy()))
     return tuple(np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
 
 
 def _combine(tolerance: int):
-    """Merges the partial lists of rows sorted by (owner, cell); a key may cross batches."""
+    """Merges the partial lists of rows sorted by (owner, cell). A key may cross batches; its list so far is kept merged, so it never outgrows a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] | None = None
         for b in batches:
             if not len(b):
                 continue
-            owner, cell, kind, start, end = _flat(b)
+            rows = _flat(b)
             if held is not None:
-                owner, cell, kind, start, end = (np.concatenate(x) for x in zip(held, (owner, cell, kind, start, end), strict=True))
-            last = (owner == b.column(0)[-1].as_py()) & (cell == b.column(1)[-1].as_py())
-            done = _list_batch(*(x[~last] for x in (owner, cell, kind, start, end)), tolerance)
-            if done is not None:
-                yield done
-            held = tuple(x[last] for x in (owner, cell, kind, start, end))
+                rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+            merged = _list_batch(*rows, tolerance)
+            if merged is not None:
+                yield merged.slice(0, len(merged) - 1)
+                held = _flat(merged.slice(len(merged) - 1))
         if held is not None:
             done = _list_batch(*held, tolerance)
             if done is not None:
@@ -151,9 +177,13 @@ def interval_lists(df: DataFrame, owner: str, start: str, end: str, synthetic: s
     ms = lambda c: F.round(F.col(c).cast("double") * 1000.0).try_cast("bigint")
     rows = df.select(F.col(owner).cast("bigint").alias("owner"), F.col(synthetic).cast("int").alias("kind"), ms(start).alias("s"), ms(end).alias("e"))
     rows = rows.filter("owner is not null and kind in (0, 1) and s is not null and e is not null and e > s")
-    partial = rows.mapInArrow(_partial(tolerance_ms, cell_ms), LISTS)
-    by_cell = partial.repartition(partitions(df.sparkSession), "owner", "cell").sortWithinPartitions("owner", "cell")
-    return by_cell.mapInArrow(_combine(tolerance_ms), LISTS)
+    lists = rows.mapInArrow(_partial(tolerance_ms, cell_ms), LISTS)
+    combine = lambda dealt: dealt.sortWithinPartitions("owner", "cell").mapInArrow(_combine(tolerance_ms), LISTS)
+    branches = size_in_bytes(rows) // TASK_BYTES // FAN  # about as many map tasks
+    while branches > 1:
+        lists = combine(lists.withColumn("branch", F.spark_partition_id() % branches).repartition("owner", "cell", "branch").drop("branch"))
+        branches //= FAN
+    return combine(lists.repartition("owner", "cell"))
 
 
 def periods_and_gaps(df: DataFrame, owner: str, start: str, end: str, synthetic: str, tolerance_ms: int = TOLERANCE_MS, cell_ms: int = CELL_MS) -> DataFrame:
@@ -170,7 +200,7 @@ def periods_and_gaps(df: DataFrame, owner: str, start: str, end: str, synthetic:
     once. An owner with synthetic intervals only has no row. An empty table gives
     an empty result. Other columns of df are ignored, whatever their names.
     """
-    lists = interval_lists(df, owner, start, end, synthetic, tolerance_ms, cell_ms)
+    lists = materialize(interval_lists(df, owner, start, end, synthetic, tolerance_ms, cell_ms), "interval-lists")
     order = Window.partitionBy("owner").orderBy("cell")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     ends = lists.select("owner", "cell", F.array_max("ends").alias("end"), F.array_max("syn_ends").alias("syn_end"))
@@ -178,7 +208,8 @@ def periods_and_gaps(df: DataFrame, owner: str, start: str, end: str, synthetic:
         "owner", "cell", F.max("end").over(earlier).alias("latest"), F.max("syn_end").over(earlier).alias("syn_latest"),
         F.max("end").over(Window.partitionBy("owner")).alias("final"),
     )
-    opened = lists.join(carried, ["owner", "cell"]).mapInArrow(_openings(tolerance_ms), OPENINGS)
+    carried = materialize(carried, "carried")
+    opened = materialize(lists.join(carried, ["owner", "cell"]).mapInArrow(_openings(tolerance_ms), OPENINGS), "openings")
     heads = opened.select("owner", "cell", F.try_element_at("opens", F.lit(-1)).alias("last_open")).filter("last_open is not null")
     finals = carried.select("owner", "final").distinct().filter("final is not null")
     linked = heads.select("owner", "cell", F.last("last_open").over(earlier).alias("prior"))

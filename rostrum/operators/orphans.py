@@ -18,15 +18,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.functions.bitmap import Bitmap
-from rostrum.session import partitions
+from rostrum.session import partitions, size_in_bytes
 
-COLUMNS = ["ref_table", "domain", "period", "key", "state", "since"]
+SCHEMA = pa.schema([("ref_table", pa.string()), ("domain", pa.string()), ("period", pa.int32()), ("key", pa.string()), ("state", pa.string()), ("since", pa.timestamp("us", "UTC"))])
 SURVIVORS = "ref_table string, domain string, period int, key string, state string, since timestamp"
+#: Bytes of the referring and parent columns whose keys make a range.
+RANGE_BYTES = 16 << 20
 #: No time given: such a reference can't be late.
 NO_PERIOD = -1
 
@@ -93,32 +95,48 @@ def _parent_rows(parent: Parent) -> DataFrame:
     return rows.select(F.lit(parent.domain).alias("domain"), "key", "deleted", "since", _period("since").alias("since_period"))
 
 
-def _survivors(refs: pd.DataFrame, parents: pd.DataFrame) -> pd.DataFrame:
+def _survivors(refs: pa.Table, parents: pa.Table) -> pa.Table:
     """AND-NOT within one key range."""
-    out = []
-    dictionary, codes = np.unique(np.concatenate([refs["key"].to_numpy(dtype=object), parents["key"].to_numpy(dtype=object)]).astype(str), return_inverse=True)
+    if not len(refs):
+        return SCHEMA.empty_table()
+    both = pa.chunked_array([*refs.column("key").chunks, *parents.column("key").chunks], pa.string()).combine_chunks()
+    encoded = (both.chunk(0) if isinstance(both, pa.ChunkedArray) else both).dictionary_encode()
+    codes = encoded.indices.to_numpy().astype(np.int64)
     child, parent = codes[: len(refs)], codes[len(refs) :]
-    exists, deleted = Bitmap.of(parent), Bitmap.of(parent[parents["deleted"].to_numpy(dtype=bool)])
-    since = np.full(len(dictionary), np.datetime64("NaT", "us"))
-    since[parent] = parents["since"].to_numpy().astype("datetime64[us]")
-    since_period = np.full(len(dictionary), np.iinfo(np.int32).max)
-    since_period[parent] = parents["since_period"].to_numpy()
-    tables, periods = refs["ref_table"].to_numpy(), refs["period"].to_numpy()
-    for table, period in {*zip(tables.tolist(), periods.tolist(), strict=True)}:
-        referred = Bitmap.of(child[(tables == table) & (periods == period)])
-        missing = referred.andnot(exists)
-        gone = referred & deleted
+    numbers = lambda t, c: t.column(c).to_numpy()
+    exists = Bitmap.of(parent)
+    deleted = Bitmap.of(parent[numbers(parents, "deleted").astype(bool)])
+    since = np.full(len(encoded.dictionary), np.datetime64("NaT", "us"))
+    since[parent] = numbers(parents, "since").astype("datetime64[us]")
+    since_period = numbers(parents, "since_period")
+    by_age = np.argsort(since_period, kind="stable")
+    parent, since_period = parent[by_age], since_period[by_age]
+    # rows of a table and period together, periods in order: what was there before a period is filled once
+    tables = refs.column("ref_table").combine_chunks().dictionary_encode()
+    tables = tables.chunk(0) if isinstance(tables, pa.ChunkedArray) else tables
+    table, period = tables.indices.to_numpy(), numbers(refs, "period")
+    order = np.lexsort((table, period))
+    cuts = np.flatnonzero((np.diff(table[order]) != 0) | (np.diff(period[order]) != 0)) + 1
+    before, filled = Bitmap({}), 0
+    out: list[tuple[int, int, str, np.ndarray]] = []
+    for rows in np.split(order, cuts):
+        at = int(period[rows[0]])
+        referred = Bitmap.of(child[rows])
         live = (referred & exists).andnot(deleted)
-        late = live.andnot(Bitmap.of(parent[parents["since_period"].to_numpy() < period])) if period != NO_PERIOD else Bitmap({})
-        for state, bits in (("missing", missing), ("deleted", gone), ("late", late)):
-            at = bits.codes()
-            if len(at):
-                out.append(pd.DataFrame({"ref_table": table, "domain": refs["domain"].iloc[0], "period": period, "key": dictionary[at], "state": state, "since": since[at]}))
-    return pd.concat(out)[COLUMNS] if out else _nothing()
-
-
-def _nothing() -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series([], dtype=object) for c in COLUMNS})
+        if (upto := int(np.searchsorted(since_period, at))) > filled:
+            before, filled = before | Bitmap.of(parent[filled:upto]), upto
+        late = live.andnot(before) if at != NO_PERIOD else Bitmap({})
+        for state, bits in (("missing", referred.andnot(exists)), ("deleted", referred & deleted), ("late", late)):
+            if len(found := bits.codes()):
+                out.append((int(table[rows[0]]), at, state, found))
+    if not out:
+        return SCHEMA.empty_table()
+    sizes = [len(x[3]) for x in out]
+    at = np.concatenate([x[3] for x in out])
+    repeat = lambda values, kind: pa.array(np.repeat(np.array(values, kind), sizes))
+    domain = pa.array([refs.column("domain")[0].as_py()] * len(at))
+    columns = [tables.dictionary.take(repeat([x[0] for x in out], np.int64)), domain, repeat([x[1] for x in out], np.int32), encoded.dictionary.take(pa.array(at)), repeat([x[2] for x in out], object), pa.array(since[at], pa.timestamp("us", "UTC"))]
+    return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, SCHEMA, strict=True)], schema=SCHEMA)
 
 
 def orphans(references: list[Reference], parents: list[Parent]) -> DataFrame:
@@ -133,7 +151,7 @@ def orphans(references: list[Reference], parents: list[Parent]) -> DataFrame:
     """
     rows = [_reference_rows(r) for r in references]
     spark = rows[0].sparkSession
-    ranges = 4 * partitions(spark)
+    ranges = max(partitions(spark), -(-sum(size_in_bytes(t) for t in [*rows, *(p.rows.select(p.key) for p in parents)]) // RANGE_BYTES))
     refs = rows[0]
     for r in rows[1:]:
         refs = refs.unionByName(r)
@@ -144,7 +162,7 @@ def orphans(references: list[Reference], parents: list[Parent]) -> DataFrame:
     distinct = refs.select("ref_table", "domain", "period", "key").distinct().withColumn("key_range", key_range)
     known = known.withColumn("key_range", key_range)
     found = distinct.groupBy("domain", "key_range").cogroup(known.groupBy("domain", "key_range"))
-    found = found.applyInPandas(lambda left, right: _survivors(left, right) if len(left) else _nothing(), SURVIVORS)
+    found = found.applyInArrow(_survivors, SURVIVORS)
     joined = refs.join(found, ["ref_table", "domain", "period", "key"])
     joined = joined.filter("state <> 'late' or since > at")
     month = F.when(F.col("period") != NO_PERIOD, F.make_date(F.floor(F.col("period") / 12).cast("int"), F.col("period") % 12 + 1, F.lit(1)))

@@ -30,23 +30,33 @@ def band_join(left: DataFrame, right: DataFrame, keys: list[str], at_left: str,
     return probes.join(cells, [*keys, "_cell"]).filter(F.abs(F.col(at_left) - F.col(at_right)) <= width).drop("_cell")
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, at_left: str, at_right: str, right_id: str) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, at_left: str, at_right: str, right_id: str, block: float = 600.0) -> DataFrame:
     """For each left row the right row of its keys nearest in position (of ties the smaller id): left_id, nearest_id, distance.
 
-    Both sides are merged in order of position; the last right row before and the
-    first after a left row come from windows over blocks of positions and one
-    summary row per block.
+    Both sides are merged in order of position within blocks of positions; one
+    summary row per block carries the last right row before it and the first after
+    it. So a key with a third of all rows is spread over its blocks.
     """
     one = left.select(*keys, F.col(at_left).alias("at"), F.col(left_id).alias("lid"), F.lit(None).cast(right.schema[right_id].dataType).alias("rid"))
     # several right rows of one position: the smallest id stands for them
     two = right.filter(F.col(at_right).isNotNull()).groupBy(*keys, F.col(at_right).alias("at")).agg(F.min(right_id).alias("rid"))
+    spots = two.withColumn("block", F.floor(F.col("at") / block).cast("bigint"))
     two = two.select(*keys, "at", F.lit(None).cast(left.schema[left_id].dataType).alias("lid"), "rid")
-    both = one.filter("at is not null").unionByName(two)
+    both = one.filter("at is not null").unionByName(two).withColumn("block", F.floor(F.col("at") / block).cast("bigint"))
     spot = F.when(F.col("rid").isNotNull(), F.struct("at", "rid"))
-    order = Window.partitionBy(*keys).orderBy("at", F.col("rid").isNull())
+    order = Window.partitionBy(*keys, "block").orderBy("at", F.col("rid").isNull())
     before = F.last(spot, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first(spot, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    rows = both.select("*", before.alias("b"), after.alias("a")).filter("lid is not null")
+    rows = both.select(*keys, "block", "at", "lid", before.alias("b"), after.alias("a")).filter("lid is not null")
+    ends = spots.groupBy(*keys, "block").agg(F.min(F.struct("at", "rid")).alias("first"), F.max(F.struct("at", "rid")).alias("last"))
+    # left rows' blocks take part, so that each finds what lies around it
+    ends = ends.join(one.filter("at is not null").select(*keys, F.floor(F.col("at") / block).cast("bigint").alias("block")).distinct(), [*keys, "block"], "full")
+    by_block = Window.partitionBy(*keys).orderBy("block")
+    carried = ends.select(
+        *keys, "block", F.last("last", ignorenulls=True).over(by_block.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"),
+        F.first("first", ignorenulls=True).over(by_block.rowsBetween(1, Window.unboundedFollowing)).alias("later"),
+    )
+    rows = rows.join(carried, [*keys, "block"]).select("at", "lid", F.coalesce("b", "earlier").alias("b"), F.coalesce("a", "later").alias("a"))
     gap = lambda c: F.abs(F.col(f"{c}.at") - F.col("at"))
     best = F.array_min(F.array_compact(F.array(*(F.when(F.col(c).isNotNull(), F.struct(gap(c).alias("distance"), F.col(f"{c}.rid").alias("id"))) for c in "ba"))))
     return rows.select(F.col("lid").alias(left_id), best["id"].alias("nearest_id"), best["distance"].alias("distance")).filter("nearest_id is not null")

@@ -19,7 +19,9 @@ def change_set(current: DataFrame, desired: DataFrame, keys: list[str], values:
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], keep_old: list[str] = ()) -> DataFrame:
-    """current with incoming rows put in place; columns in `keep_old` keep the old value where the new one is null."""
+    """current with incoming rows put in place; columns in `keep_old` keep the old value where the new one is null. Of several incoming rows of one key the greatest in column order holds."""
+    rest = [c for c in current.columns if c not in keys]
+    incoming = incoming.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_x")).select(*keys, "_x.*")
     old = current.select(*keys, F.struct(*(c for c in current.columns if c not in keys)).alias("_old"))
     new = incoming.select(*keys, F.struct(*(c for c in current.columns if c not in keys)).alias("_new"))
     rows = old.join(new, keys, "full")
@@ -39,8 +41,8 @@ def insert_new(current: DataFrame, incoming: DataFrame, keys: list[str]) -> Data
 
 
 def replace_scopes(current: DataFrame, incoming: DataFrame, scope: list[str]) -> DataFrame:
-    """Rows of the incoming scopes replaced as wholes; a scope without incoming rows stays as it is."""
-    return current.join(incoming.select(*scope).distinct(), scope, "left_anti").unionByName(incoming)
+    """Rows of the incoming scopes replaced as wholes; a scope without incoming rows stays as it is. Incoming rows that are the same count once, others of a scope all stay."""
+    return current.join(incoming.select(*scope).distinct(), scope, "left_anti").unionByName(incoming.distinct())
 
 
 def next_versions(versions: DataFrame, desired: DataFrame, key: str, values: list[str]) -> DataFrame:
@@ -60,6 +62,28 @@ def restore_children(children: DataFrame, parents: DataFrame, natural: str, live
     return restored, children.join(ids, natural, "left_anti")
 
 
+def refuse_lost(orphans: DataFrame, manual: str, what: str = "rows set by hand", shown: int = 5) -> DataFrame:
+    """The orphans of `restore_children`, or an error if one of them was set by hand (`manual` is an SQL condition): those must not be lost."""
+    lost = orphans.filter(manual).limit(shown).collect()
+    if lost:
+        raise ValueError(f"{what} would be lost, among them {[tuple(r) for r in lost]}")
+    return orphans
+
+
+def registry_sync(current: DataFrame, desired: DataFrame, key: str, values: list[str], versions: DataFrame | None = None, versioned: list[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(table, report, new versions) of bringing a registry up to date: rows are inserted and updated, absent ones stay.
+
+    `report` has the key and change ('insert', 'update', 'keep' or 'absent', which
+    is a warning). A version is appended where one of the `versioned` columns
+    differs null-safely from the latest.
+    """
+    changes = change_set(current, desired, [key], values)
+    report = changes.select(key, F.when(F.col("change") == "delete", "absent").otherwise(F.col("change")).alias("change"))
+    table = upsert(current.select(key, *values), desired.select(key, *values), [key])
+    fresh = next_versions(versions, desired, key, list(versioned)) if versions is not None else report.limit(0)
+    return table, report, fresh
+
+
 def keep_best(df: DataFrame, key: str, present: list[str], order: str) -> DataFrame:
     """One row per key, folded in order: a later row replaces the kept one if it has a value, in the first column of `present` or else the next, that the kept one lacks; it takes the earliest order.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rostrum.functions.text import timecode, timed_url, tokens, word_count
 from rostrum.operators.joins import best_per_key
 from rostrum.operators.search import STOPWORDS, Index, bm25, capped_distinct, postings, purge, query_terms, recall_report, text_key
-from rostrum.session import materialize, r6, shared_dir, table
+from rostrum.session import materialize, r6, shared_dir, spread, table
 
 #: A concept's forms, as a registry would hold them.
 CONCEPT, ALIASES = "Silence & Listening", ["quiet mind", "attention"]
@@ -23,7 +23,7 @@ CITED_KINDS = ["letter", "study_note", "dialogue"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", "doc_id", "text", "source", "item_code")
+    return spread(table(spark, sf_dir, "documents", "doc_id", "text", "source", "item_code"))
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:

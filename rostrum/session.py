@@ -49,6 +49,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, bytes_each: int = 8 << 20) -> DataFrame:
+    """On one machine, deals a small table to all cores: a file of one row group would be read and worked on by one. Elsewhere, and where there is more than a few MB a core, nothing is moved."""
+    sc = df.sparkSession.sparkContext
+    alone = sc.master == "local" or sc.master.startswith("local[")
+    small = alone and size_in_bytes(df) < bytes_each * sc.defaultParallelism
+    return df.repartition(sc.defaultParallelism) if small else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share.
 

@@ -11,7 +11,7 @@ from rostrum.operators.evaluate import accepted_tags, import_judgments, weighted
 from rostrum.operators.quality import registry_rules, require, violations
 from rostrum.sinks.export import is_stale, markdown_table, splice, write_csv, write_jsonl, write_scopes
 from rostrum.sources.documents import catalogue_items, file_states, html_links, html_paragraphs, jsonl_rows, overlay_entries, read_lines
-from rostrum.streaming.ingest import file_stream, ingest_scopes, sessions, windowed_counts
+from rostrum.streaming.ingest import file_stream, import_results, ingest_scopes, latest_results, sessions, stream_turns, windowed_counts, work_off
 
 
 def one(spark, column, **values):
@@ -133,6 +133,67 @@ def test_scopes_are_replaced_and_streams_are_idempotent(spark, tmp_path):
     assert sorted((r.k, r.v) for r in spark.read.parquet(table).collect()) == [("a", 9), ("b", 30)]
 
 
+def test_a_scope_in_two_batches_is_whole(spark, tmp_path):
+    table, source = str(tmp_path / "t"), str(tmp_path / "in")
+    total = lambda d: d.groupBy("k").agg(F.sum("v").alias("v"))
+    for rows in ([("a", 1)], [("a", 2), ("b", 5)], [("c", 7)]):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(source)
+        ingest_scopes(file_stream(spark, source, "k string, v int", 1), total, table, ["k"], str(tmp_path / "cp")).awaitTermination()
+    assert sorted((r.k, r.v) for r in spark.read.parquet(table).collect()) == [("a", 3), ("b", 5), ("c", 7)]
+
+
+def test_results_overwrite_as_they_arrive(spark, tmp_path):
+    table, source = str(tmp_path / "t"), str(tmp_path / "in")
+    for rows in ([("a", 1), ("a", 3), ("b", 5)], [("b", None), ("c", 7)]):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(source)
+        import_results(file_stream(spark, source, "k string, v int"), table, ["k"], str(tmp_path / "cp")).awaitTermination()
+    assert sorted((r.k, r.v) for r in latest_results(spark, table).collect()) == [("a", 3), ("b", None), ("c", 7)]
+
+
+def test_turns_are_carried_from_batch_to_batch(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "transcript_id int, seq int, speaker_code string, text string, final boolean"
+    batches = [
+        [(1, 1, "K", "One.", False), (1, 2, None, "two.", False), (2, 1, "Q", "Who?", False), (1, 2, None, "two.", False)], [(1, 4, "K", "three.", False), (1, 5, "Q", "Why?", False), (None, 1, "K", "x", False)],
+        [(1, 3, "K", "late.", False), (1, 6, None, "So.", True), (2, 2, "K", None, True)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        turns = stream_turns(file_stream(spark, source, schema))
+        turns.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 1, 4, "K", "One. two. three.", False), (1, 3, 3, "K", "late.", True), (1, 5, 6, "Q", "Why? So.", False), (2, 1, 1, "Q", "Who?", False), (2, 2, 2, "K", "", False)]
+
+
+def test_work_is_resumed(spark, tmp_path):
+    done, seen = str(tmp_path / "done"), []
+    work = spark.range(7)
+
+    def process(step):
+        seen.append(sorted(r.id for r in step.collect()))
+        return step.withColumn("x", F.lit(1))
+
+    assert work_off(work, ["id"], process, done, 3, stop=lambda: len(seen) == 2) == 2 and seen == [[0, 1, 2], [3, 4, 5]]
+    assert work_off(work, ["id"], process, done, 3) == 1 and seen[2:] == [[6]]
+    assert work_off(work, ["id"], process, done, 3) == 0
+
+
+def test_registry_sync_and_rows_set_by_hand(spark, rows):
+    from rostrum.operators.sync import refuse_lost, registry_sync, replace_scopes, upsert
+
+    schema = "slug string, name string, definition string"
+    old, new = spark.createDataFrame([("a", "A", "x"), ("b", "B", None), ("c", "C", "z")], schema), spark.createDataFrame([("a", "A", "y"), ("b", "B", None), ("d", "D", "w")], schema)
+    versions = spark.createDataFrame([("a", 1, "x"), ("b", 1, "q"), ("b", 2, None)], "slug string, version int, definition string")
+    table, report, fresh = registry_sync(old, new, "slug", ["name", "definition"], versions, ["definition"])
+    assert rows(table) == [("a", "A", "y"), ("b", "B", None), ("c", "C", "z"), ("d", "D", "w")]
+    assert dict(rows(report)) == {"a": "update", "b": "keep", "c": "absent", "d": "insert"} and rows(fresh) == [("a", 2, "y"), ("d", 1, "w")]
+    assert rows(upsert(old, spark.createDataFrame([("a", "A1", "1"), ("a", "A2", "2")], schema), ["slug"]))[0] == ("a", "A2", "2")
+    assert rows(replace_scopes(old, spark.createDataFrame([("a", "n", "n"), ("a", "n", "n"), ("a", "m", "m")], schema), ["slug"])) == [("a", "m", "m"), ("a", "n", "n"), ("b", "B", None), ("c", "C", "z")]
+    assert refuse_lost(old.filter("slug = 'a'"), "name = 'B'").count() == 1
+    with pytest.raises(ValueError, match="B"):
+        refuse_lost(old, "name = 'B'")
+
+
 def test_windows_and_sessions(spark):
     at = lambda m: datetime(2024, 1, 1, 0, m)
     events = spark.createDataFrame([(at(1), "u"), (at(4), "u"), (at(12), "u"), (at(30), "v")], "ts timestamp, k string")

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm.splitting import ABBREVIATIONS, LIMIT, OVERLAP, WORDLIKE, oversized, split_texts
-from rostrum.session import sql_list, table
+from rostrum.session import sql_list, spread, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = oversized(table(spark, sf_dir, "segments", "id", "text"), "id", "text")
+    found = oversized(spread(table(spark, sf_dir, "segments", "id", "text")), "id", "text")
     return found.select("id", "cut_kind").withColumnRenamed("id", "segment_id")
 
 
 def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "segments", "id", "text", "t_start", "t_end")
+    rows = spread(table(spark, sf_dir, "segments", "id", "text", "t_start", "t_end"))
     return split_texts(rows, "id", "text", "t_start", "t_end").withColumnRenamed("id", "segment_id")
 
 

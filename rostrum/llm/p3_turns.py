@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.llm.turns import ORDINALS, TITLES, speaker_turns
-from rostrum.session import sql_list, table
+from rostrum.session import sql_list, spread, table
 
 COLUMNS = ["id", "transcript_id", "seq", "raw_label", "speaker_code", "attribution", "text"]
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = speaker_turns(table(spark, sf_dir, "segments", *COLUMNS), table(spark, sf_dir, "speakers"), with_text=False)
+    turns = speaker_turns(spread(table(spark, sf_dir, "segments", *COLUMNS)), table(spark, sf_dir, "speakers"), with_text=False)
     return turns.select("transcript_id", F.col("first_seq").cast("bigint"), F.col("last_seq").cast("bigint"), "speaker_code")
 
 
 def p3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns with the text that was said."""
-    return speaker_turns(table(spark, sf_dir, "segments", *COLUMNS), table(spark, sf_dir, "speakers"))
+    return speaker_turns(spread(table(spark, sf_dir, "segments", *COLUMNS)), table(spark, sf_dir, "speakers"))
 
 
 QUERIES = {"p3_found": p3_found, "p3_turns": p3_turns}

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.llm.neardup import Similar, similar_groups, similar_pairs, similar_sets
-from rostrum.session import table
+from rostrum.session import spread, table
 
 #: The problem's own terms: three words, half of all shingles, texts of 40 words or more.
 WORDS, SIMILARITY, LEAST_WORDS = 3, 0.5, 40
 
 
 def _similar(spark: SparkSession, sf_dir: str) -> Similar:
-    return similar_sets(table(spark, sf_dir, "segments", "id", "text"), "id", "text", SIMILARITY, WORDS, LEAST_WORDS)
+    return similar_sets(spread(table(spark, sf_dir, "segments", "id", "text")), "id", "text", SIMILARITY, WORDS, LEAST_WORDS)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from rostrum.llm.packing import Packing, containers, pack
 from rostrum.llm.tokens import token_counts
-from rostrum.session import table
+from rostrum.session import spread, table
 
 CAPACITY = 2048
 
 
 def _packing(spark: SparkSession, sf_dir: str) -> Packing:
-    return pack(token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), "text", {"doc_id": "doc_id"}), "doc_id", "tokens", CAPACITY)
+    return pack(token_counts(spread(table(spark, sf_dir, "documents", "doc_id", "text")), "text", {"doc_id": "doc_id"}), "doc_id", "tokens", CAPACITY)
 
 
 def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

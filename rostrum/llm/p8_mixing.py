@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from rostrum.llm.mixing import Mix, mix, mix_shares
 from rostrum.llm.tokens import token_counts
-from rostrum.session import materialize, table
+from rostrum.session import materialize, spread, table
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    documents = spread(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
     return token_counts(documents, "text", {"doc_id": "doc_id", "source": "source", "lang": "lang"})
 
 

@@ -9,11 +9,11 @@ from rostrum.llm.stuffing import (
     KEYWORD_FUNCTION, KEYWORD_SHARE, LEAST_FUNCTION, LEAST_HOSTS, LEAST_LIST_WORDS, LEAST_NEAR_WORDS, LEAST_SENTENCE, LIST_SHARE, NEAR_SHARE, STITCHED_SHARE,
     page_evidence, stuffed_pages,
 )
-from rostrum.session import sql_list, table
+from rostrum.session import sql_list, spread, table
 
 
 def p9_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_evidence(table(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source")
+    return page_evidence(spread(table(spark, sf_dir, "documents", "doc_id", "text", "source")), "doc_id", "text", "source")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rostrum.functions.text import decade
 from rostrum.operators import selection as S
 from rostrum.operators.evaluate import membership_differences
+from rostrum.operators.joins import PLACE_WORDS, link_scores
 from rostrum.operators.quality import registry_rules, violations
 from rostrum.operators.sync import restore_children
 from rostrum.plans.catalogue import items
@@ -120,7 +121,18 @@ def import_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership_differences(rows.select(*columns), imported.select(*columns)).groupBy("side", "language").agg(F.count("*").alias("members"))
 
 
+def link_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links to recordings, titled as a channel would (by title or by event, in turn), that may belong to an item, with their scores: by the titles, or by the event's number, among those that name one of its years and its place."""
+    rows = items(spark, sf_dir)
+    wanted = rows.select(F.col("id").alias("item_id"), "title", F.col("event_type_label").alias("event_label"), "event_number", "year", "code", "place_name")
+    at = F.concat_ws(" ", "place_name", F.col("year").cast("string"))
+    titled, numbered = F.concat_ws(" - ", at, "title"), F.concat_ws(", ", F.concat_ws(" ", "event_type_label", "event_number"), at)
+    links = rows.select(F.col("id").alias("link_id"), F.when(F.col("id") % 2 == 0, titled).otherwise(numbered).alias("link_title"))
+    return link_scores(wanted, links).filter("score > 0")
+
+
 QUERIES = {
+    "link_candidates": link_candidates,
     "footage_types": footage_types, "section_groups": section_groups, "evaluation_frame": evaluation_frame, "resumed_work": resumed_work, "kept_notes": kept_notes, "kind_runs": kind_runs,
     "section_breaks": section_breaks, "source_figures": source_figures, "facets": facets, "stale_transcripts": stale_transcripts, "catalogue_gate": catalogue_gate,
     "registry_violations": registry_violations, "restored_media": restored_media, "import_check": import_check,
@@ -130,7 +142,27 @@ _IT = "it AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY id ORD
 _TR = "tr AS (SELECT * FROM transcripts QUALIFY row_number() OVER (PARTITION BY id ORDER BY parsed_at) = 1)"
 _GROUPS = ", ".join(f"({k}, '{v}')" for k, v in S.GROUPS.items())
 
+
+def _normal(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(translate(lower({x}), '–—', '--'), '[^a-z0-9 -]+', '', 'g'), ' {{2,}}', ' ', 'g'))"
+
+
+_LAST = "regexp_extract(translate(title, '–—', '--'), '([^-]*[^- ][^-]*)[- ]*$', 1)"
+_LINKS = rf"""{_IT}, i AS (SELECT id AS item_id, {_normal("title")} AS t, {_normal("concat_ws(' ', event_type_label, event_number)")} AS phrase,
+    list_filter(list_concat([{_normal("split_part(place_name, ',', 1)")}], list_filter({PLACE_WORDS}, lambda w: contains(lower(place_name), w))), lambda w: length(w) >= 4) AS places,
+    regexp_extract(CASE WHEN contains(code, '-') AND NOT ends_with(code, '&2') THEN split_part(code, '-', 1) ELSE code END, '^[A-Z]{{2,3}}(\d{{0,4}})[A-Z]+.*$', 1) AS d1, regexp_extract(code, '^[A-Z]{{2,3}}(\d{{2,4}})', 1) AS d2, year FROM it),
+  iy AS (SELECT *, list_filter([year, CASE WHEN length(d1) IN (2, 4) THEN 1900 + d1[:2]::INT END, CASE WHEN length(d2) = 2 THEN CASE WHEN d2::INT > 30 THEN 1900 ELSE 2000 END + d2::INT END, CASE WHEN length(d2) = 4 THEN 1900 + d2[:2]::INT END,
+    CASE WHEN length(d2) = 4 THEN 1900 + d2[3:]::INT END], lambda y: y BETWEEN 1900 AND 2035) AS years FROM i),
+  named AS (SELECT id AS link_id, CASE WHEN id % 2 = 0 THEN concat_ws(' - ', concat_ws(' ', place_name, year), title) ELSE concat_ws(', ', concat_ws(' ', event_type_label, event_number), concat_ws(' ', place_name, year)) END AS title FROM it),
+  l AS (SELECT link_id, {_normal("title")} AS lt, {_normal(f"CASE WHEN {_LAST} <> '' THEN {_LAST} ELSE title END")} AS tail,
+    list_filter(list_concat(list_transform(regexp_extract_all(title, '\b((?:19|20)\d{{2}})\b', 1), lambda y: y::INT), list_transform(regexp_extract_all(title, '\b(\d{{2}})/(\d{{2}})\b', 1), lambda y: 1900 + y::INT),
+      list_transform(regexp_extract_all(title, '\b(\d{{2}})/(\d{{2}})\b', 2), lambda y: 1900 + y::INT)), lambda y: y BETWEEN 1900 AND 2035) AS named FROM named),
+  sc AS (SELECT item_id, link_id, CASE WHEN len(places) > 0 AND NOT list_bool_or(list_transform(places, lambda w: contains(lt, w))) THEN 0.0::DOUBLE
+    WHEN t <> '' AND (contains(lt, t[:20]) OR contains(t, tail[:25]) OR contains(tail, t[:25])) AND NOT regexp_full_match(t, '\d+(?:st|nd|rd|th)\s+question\s+and\s+answer\s+meeting') THEN 1.0::DOUBLE
+    WHEN phrase <> '' AND contains(lt, phrase) THEN 0.88::DOUBLE ELSE 0.0::DOUBLE END AS score FROM iy, l WHERE len(years) = 0 OR list_has_any(years, named))"""
+
 ORACLE = {
+    "link_candidates": f"WITH {_LINKS} SELECT item_id, link_id, score FROM sc WHERE score > 0",
     "footage_types": f"WITH {_IT}, x AS (SELECT id, CASE media_type WHEN 'audio' THEN 'audio_only' WHEN 'video' THEN 'video_footage' END AS footage, footage_type FROM it) SELECT id, footage, footage IS NOT DISTINCT FROM footage_type AS as_stated FROM x",
     "section_groups": f"WITH {_IT}, g(number, group_id) AS (VALUES {_GROUPS}) SELECT it.id, s.number, g.group_id, g.group_id IS NOT DISTINCT FROM it.mega_group AS as_stated FROM it LEFT JOIN sections s ON s.id = it.section_id LEFT JOIN g ON g.number = s.number",
     "evaluation_frame": f"""WITH {_TR}, x AS (SELECT DISTINCT s.id, s.timestamps_synthetic AS synth, regexp_extract(upper(trim(tr.item_code)), '\\d{{2}}') AS d, tr.event_type, tr.corpus_tier FROM segments s JOIN tr ON tr.id = s.transcript_id WHERE s.speaker_code = 'K' AND tr.corpus_tier IN ('A', 'B') AND tr.kind = 'manual'),

@@ -46,6 +46,17 @@ def query_terms(name: str, aliases: list[str] = (), extra: list[str] = ()) -> li
     return list(dict.fromkeys(w for w in meant if len(w) >= LEAST_TERM))
 
 
+def registry_terms(forms: DataFrame, key: str, position: str, form: str) -> DataFrame:
+    """key, place, term: `query_terms` of every concept of a registry, whose forms are rows in order of position."""
+    words = F.regexp_extract_all(F.lower(form), F.lit(r"[\p{L}\p{N}]+"), 0)
+    rows = forms.select(key, position, words.alias("_words")).filter(F.size("_words") > 0)
+    alone = rows.filter(F.size("_words") == 1).select(key, F.col("_words")[0].alias("term")).distinct().withColumn("_alone", F.lit(True))
+    rows = rows.select(key, position, F.posexplode("_words").alias("_i", "term")).filter(F.length("term") >= LEAST_TERM)
+    first = rows.groupBy(key, "term").agg(F.min(F.struct(position, "_i")).alias("_at")).join(alone, [key, "term"], "left")
+    first = first.filter(F.col("_alone") | ~F.col("term").isin(STOPWORDS))
+    return first.select(key, F.row_number().over(Window.partitionBy(key).orderBy("_at")).alias("place"), "term")
+
+
 def fold_term(term: str) -> str:
     """A term as the texts' tokens are folded."""
     return "".join(c for c in unicodedata.normalize("NFD", term.lower()) if not unicodedata.combining(c))

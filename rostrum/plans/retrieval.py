@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions.text import timecode, timed_url, tokens, word_count
 from rostrum.operators.joins import best_per_key
-from rostrum.operators.search import STOPWORDS, Index, bm25, capped_distinct, postings, purge, query_terms, recall_report, text_key
+from rostrum.operators.search import STOPWORDS, Index, bm25, capped_distinct, postings, purge, query_terms, recall_report, registry_terms, text_key
 from rostrum.session import materialize, r6, shared_dir, spread, table
 
 #: A concept's forms, as a registry would hold them.
@@ -151,6 +151,20 @@ def posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings(documents(spark, sf_dir), "doc_id", "text").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max("tf").alias("most"))
 
 
+def place_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query terms of every place: of its name, other names and region."""
+    names = F.concat(F.array("place_name"), F.split(F.coalesce("other_names", F.lit("")), ";"), F.array("region_name"))
+    forms = table(spark, sf_dir, "places").select("place_code", F.posexplode(names).alias("position", "form"))
+    return registry_terms(forms, "place_code", "position", "form")
+
+
+def recall_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the citations how many are found, in whole percent, the deepest rank, and how far it is from the end of the list."""
+    rows = recall_gaps(spark, sf_dir).agg(F.count("*").alias("cited"), F.count("found_rank").alias("found"), F.coalesce(F.max("found_rank"), F.lit(0)).alias("worst_rank"))
+    head = F.lit(LIMIT) - F.col("worst_rank")
+    return rows.select("cited", "found", F.coalesce(F.floor(F.try_divide(100 * F.col("found"), F.col("cited"))), F.lit(0)).cast("bigint").alias("pct"), "worst_rank", head.alias("headroom"), ((F.col("found") > 0) & (head < LIMIT // 10)).alias("thin"))
+
+
 def stopword_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of documents that have each stopword, and whether it is ubiquitous (more than 4 in 100)."""
     docs = documents(spark, sf_dir).select(F.array_distinct(tokens("text")).alias("toks"))
@@ -176,7 +190,7 @@ def text_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "bm25_scores": bm25_scores, "bm25_topk": bm25_topk, "bm25_capped": bm25_capped, "recall_gaps": recall_gaps, "recall_summary": recall_summary, "recall_gaps_by_kind": recall_gaps_by_kind, "recall_summary_by_kind": recall_summary_by_kind, "prefix_df": prefix_df,
-    "search_hits": search_hits, "index_after_purge": index_after_purge, "posting_lists": posting_lists, "stopword_share": stopword_share, "link_hosts": link_hosts, "text_copies": text_copies,
+    "search_hits": search_hits, "index_after_purge": index_after_purge, "posting_lists": posting_lists, "stopword_share": stopword_share, "place_terms": place_terms, "recall_rate": recall_rate, "link_hosts": link_hosts, "text_copies": text_copies,
 }
 
 _TOKS = r"list_filter(regexp_split_to_array(strip_accents(lower(coalesce(text, ''))), '[^\pL\pN]+'), lambda x: x <> '')"
@@ -232,6 +246,11 @@ ORACLE = {
     "recall_summary": f"{_recall_sql()} SELECT outcome, count(*) AS citations, max(found_rank) AS worst_rank, coalesce({LIMIT} - max(found_rank) < {LIMIT // 10}, false) AS thin FROM gaps GROUP BY outcome",
     "recall_gaps_by_kind": f"{_recall_sql(_FIRST_OF_KIND)} SELECT * FROM gaps",
     "recall_summary_by_kind": f"{_recall_sql(_FIRST_OF_KIND)} SELECT outcome, count(*) AS citations, max(found_rank) AS worst_rank, coalesce({LIMIT} - max(found_rank) < {LIMIT // 10}, false) AS thin FROM gaps GROUP BY outcome",
+    "place_terms": rf"""WITH n AS (SELECT place_code, list_concat([place_name], string_split(coalesce(other_names, ''), ';'), [region_name]) AS fs FROM places), f AS (SELECT place_code, unnest(fs) AS form, generate_subscripts(fs, 1) AS pos FROM n),
+      w AS (SELECT place_code, pos, regexp_extract_all(lower(form), '[\pL\pN]+') AS ws FROM f), t AS (SELECT place_code, pos, unnest(ws) AS term, generate_subscripts(ws, 1) AS i FROM w),
+      k AS (SELECT place_code, term, min((pos, i)) AS first_at FROM t WHERE length(term) >= 3 AND (term NOT IN ({", ".join(repr(w) for w in STOPWORDS)}) OR (place_code, term) IN (SELECT (place_code, ws[1]) FROM w WHERE len(ws) = 1)) GROUP BY ALL)
+      SELECT place_code, CAST(row_number() OVER (PARTITION BY place_code ORDER BY first_at) AS INT) AS place, term FROM k""",
+    "recall_rate": f"{_recall_sql()}, r AS (SELECT count(*) AS cited, count(found_rank) AS found, coalesce(max(found_rank), 0) AS worst_rank FROM gaps) SELECT cited, found, CASE WHEN cited = 0 THEN 0 ELSE 100 * found // cited END AS pct, worst_rank, {LIMIT} - worst_rank AS headroom, found > 0 AND {LIMIT} - worst_rank < {LIMIT // 10} AS thin FROM r",
     "search_hits": _HITS,
     "index_after_purge": f"""WITH v AS ({_VIEW}), w AS (SELECT doc_id, corpus_tier, unnest({_TOKS}) AS word FROM v),
       m AS (SELECT prefix, doc_id, corpus_tier FROM w JOIN (SELECT unnest([{', '.join(repr(t) for t in TERMS)}]) AS prefix) ON starts_with(word, prefix))

@@ -7,7 +7,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that an export to one local file may have.
@@ -73,3 +73,23 @@ def write_scopes(df: DataFrame, path: str, scope: list[str]) -> None:
 def file_manifest(files: DataFrame) -> DataFrame:
     """path, size and SHA-256 of binary files (columns path, length, content)."""
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def write_manifest(path: str, facts: dict) -> None:
+    """A manifest of one JSON object, keys in the order given; written at once."""
+    replace_file(path, json.dumps(facts, indent=2, ensure_ascii=False, default=str) + "\n")
+
+
+def report(title: str, parts: list[tuple[str, DataFrame, list]]) -> str:
+    """A Markdown report: each part a heading and the table of a small result in order; an empty one says so."""
+    blocks = [f"# {title}"]
+    for heading, df, order in parts:
+        table = markdown_table(df, order)
+        blocks += [f"## {heading}", table if table.count("\n") > 1 else "None."]
+    return "\n\n".join(blocks) + "\n"
+
+
+def to_prune(files: DataFrame, group: str, at: str, keep: int) -> DataFrame:
+    """The files beyond the `keep` newest of each group (of ties the last path stays longest)."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.col(at).desc_nulls_last(), F.col("path").desc()))
+    return files.withColumn("_n", rank).filter(F.col("_n") > keep).drop("_n")

@@ -110,6 +110,25 @@ def catalogue_items(lines: DataFrame, doc: str = "doc", number: str = "line_no",
     )
 
 
+def page_links(links: DataFrame, doc: str = "doc") -> DataFrame:
+    """doc, position, uri of the links found on a document's pages (page, y, uri), from the top of the first page down, each only where it stands first."""
+    first = links.filter("uri <> ''").groupBy(doc, "uri").agg(F.min(F.struct("page", (-F.col("y")).alias("down"))).alias("at"))
+    return first.select(doc, (F.row_number().over(Window.partitionBy(doc).orderBy("at", "uri")) - 1).alias("position"), "uri")
+
+
+def api_records(responses: DataFrame, key: str, body: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(records, failures) of JSON responses: the key with the fields of each, and the keys of those that are no object of the form."""
+    parsed = responses.select(key, F.from_json(body, schema, {"mode": "PERMISSIVE"}).alias("x"), F.trim(body).alias("body"))
+    good = F.col("x").isNotNull() & F.startswith("body", F.lit("{")) & F.json_object_keys("body").isNotNull()
+    return parsed.filter(F.coalesce(good, F.lit(False))).select(key, "x.*"), parsed.filter(~F.coalesce(good, F.lit(False))).select(key)
+
+
+def cached(wanted: DataFrame, cache: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(found, to fetch): wanted keys with what a cache holds for them, and those it lacks, once each."""
+    asked = wanted.select(*keys).distinct()
+    return asked.join(cache, keys), asked.join(cache.select(*keys).distinct(), keys, "left_anti")
+
+
 def file_states(spark: SparkSession, glob: str) -> DataFrame:
     """path, size and modification time of files; their content is not read."""
     return spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at"))

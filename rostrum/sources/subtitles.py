@@ -63,17 +63,27 @@ def duration_fits(actual: Column, expected_minutes: Column) -> Column:
     return F.coalesce((expected != 0) & (F.abs(actual - expected) <= F.greatest(F.lit(180.0), 0.08 * expected)), F.lit(False))
 
 
+#: Letters of a file's code by which a recording's base code is looked up.
+CODE_LETTERS = 16
+
+
 def resolve_sources(items: DataFrame, listing: DataFrame) -> DataFrame:
     """code, path, resolved_via for every item: its own file, else the first sibling whose duration fits, else 'missing'.
 
     `items` has code and duration_minutes, `listing` has path, code (of the file
-    name) and duration_secs. A sibling of 'X.2' is a file of 'X'.
+    name) and duration_secs. The siblings of 'X.2' are tried in order: the files of
+    'X', English before British English before others, then files whose code begins
+    with 'X', each by path. A file is met by the beginnings of its code, one row
+    each, so no place's items meet all files of the place.
     """
-    base = F.regexp_replace("code", r"\.\d+$", "")
-    wanted = items.select("code", "duration_minutes", base.alias("base"))
-    own = wanted.join(listing.select(F.col("code").alias("file_code"), "path"), F.col("code") == F.col("file_code"), "inner").select("code", "path", F.lit("direct").alias("via"), F.lit(0).alias("rank"))
-    siblings = wanted.filter("code <> base").join(listing.select(F.col("code").alias("file_code"), "path", "duration_secs"), F.col("base") == F.col("file_code"))
-    siblings = siblings.filter(duration_fits(F.col("duration_secs"), F.col("duration_minutes"))).select("code", "path", F.lit("sibling").alias("via"), F.lit(1).alias("rank"))
+    wanted = items.select("code", "duration_minutes", F.substring_index("code", ".", 1).alias("base"))
+    files = listing.select(F.col("code").alias("file_code"), "path", "duration_secs")
+    own = wanted.join(files, F.col("code") == F.col("file_code")).select("code", "path", F.lit("direct").alias("via"), F.lit(0).alias("rank"))
+    begun = files.withColumn("base", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.greatest(F.length("file_code"), F.lit(1)), F.lit(CODE_LETTERS))), lambda n: F.substr("file_code", F.lit(1), n))))
+    siblings = wanted.join(begun, "base").filter(F.col("file_code") != F.col("code")).filter(duration_fits(F.col("duration_secs"), F.col("duration_minutes")))
+    same = F.col("file_code") == F.col("base")
+    rank = F.when(same & ~F.col("path").rlike(r"\.en-[^./]*\.[^./]*$"), 1).when(same & F.col("path").contains(".en-GB."), 2).when(same, 3).otherwise(4)
+    siblings = siblings.select("code", "path", F.lit("sibling").alias("via"), rank.alias("rank"))
     best = own.unionByName(siblings).groupBy("code").agg(F.min(F.struct("rank", "path", "via")).alias("x")).select("code", "x.path", "x.via")
     return items.select("code").join(best, "code", "left").select("code", "path", F.coalesce("via", F.lit("missing")).alias("resolved_via"))
 

@@ -96,6 +96,17 @@ def test_siblings_must_fit_the_duration(spark, minutes, want):
     assert tuple(resolve_sources(items, listing).first())[1:] == want
 
 
+def test_siblings_are_tried_in_order(spark):
+    items = spark.createDataFrame([("B1.2", 60), ("B2.1", 60), ("B3", 60), ("B4", 60)], "code string, duration_minutes int")
+    files = [
+        ("x/B1.en-GB.vtt", "B1", 3600.0), ("x/B1.en.vtt", "B1", 3610.0), ("x/B1.3 - a.en.vtt", "B1.3", 3600.0), ("x/B2.en.vtt", "B2", 9.0), ("x/B2.en-GB.vtt", "B2", 3600.0), ("x/B2.2.en.vtt", "B2.2", 3600.0),
+        ("x/B3x.en.vtt", "B3x", 3600.0), ("x/B3 old.en.vtt", "B3 old", None), ("x/B4.en.vtt", "B4", 1.0), ("x/B40.en.vtt", "B40", 3600.0), ("x/B.en.vtt", "B", 3600.0), ("x/.vtt", "", 3600.0),
+    ]
+    listing = spark.createDataFrame(files, "path string, code string, duration_secs double")
+    got = {r.code: (r.path, r.resolved_via) for r in resolve_sources(items, listing).collect()}
+    assert got == {"B1.2": ("x/B1.en.vtt", "sibling"), "B2.1": ("x/B2.en-GB.vtt", "sibling"), "B3": ("x/B3x.en.vtt", "sibling"), "B4": ("x/B4.en.vtt", "direct")}
+
+
 def test_a_file_serves_its_first_claim(spark, rows):
     claims = spark.createDataFrame([("B", "f", 2), ("A", "f", 2), ("C", "g", None), ("D", None, 1)], "code string, path string, pdf_order int")
     assert [r[0] for r in rows(first_claims(claims, "pdf_order").select("code"))] == ["A", "C"]

@@ -217,6 +217,7 @@ def speaker_turns(segments: DataFrame, speakers: DataFrame, with_text: bool = Tr
     islands = rows.groupBy("transcript_id", "block", "island").agg(
         F.first("speaker_code").alias("speaker_code"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), *text,
     )
+    islands = materialize(islands, "islands")  # read twice: for the blocks' turns at both ends and for the rows
     blocks = islands.groupBy("transcript_id", "block").agg(
         F.max("island").alias("last_island"), F.min_by("speaker_code", "island").alias("head"), F.max_by("speaker_code", "island").alias("tail"),
     )

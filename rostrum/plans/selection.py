@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostrum.functions.text import decade
+from rostrum.functions.text import decade, future_path, ordered_series_path, output_path
 from rostrum.operators import selection as S
-from rostrum.operators.evaluate import membership_differences
+from rostrum.operators.evaluate import membership_differences, weighted_measures
 from rostrum.operators.joins import PLACE_WORDS, link_scores
-from rostrum.operators.quality import registry_rules, violations
+from rostrum.operators.quality import registry_rules, share, violations
 from rostrum.operators.sync import restore_children
 from rostrum.plans.catalogue import items
-from rostrum.session import table
+from rostrum.plans.corpus import ORACLE as CORPUS
+from rostrum.plans.corpus import citation_check
+from rostrum.plans.relational import _JUDGED, judgments
+from rostrum.session import r6, table
 
 SECTION, RESUME_FROM = "1a/", "H"
 
@@ -131,7 +134,32 @@ def link_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_scores(wanted, links).filter("score > 0")
 
 
+def media_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path that the catalogue plans for each item, with its series' folder in order, and where its downloads go."""
+    sections = table(spark, sf_dir, "sections", F.col("id").alias("section_id"), F.col("slug").alias("section_slug"))
+    rows = items(spark, sf_dir).select("id", "code", "title", "media_type", "series_code", "series_order", "section_id").join(sections, "section_id", "left")
+    rows = rows.withColumn("path", future_path("section_slug", "code", "title", "media_type", "series_code"))
+    return rows.select("id", "path", ordered_series_path("path", "series_code", "series_order").alias("ordered"), output_path("path", "video", "/media", "series_code").alias("video"), output_path("path", "mp3", "/media", "series_code").alias("sound"))
+
+
+def definition_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted measures of what judgments call a definition against what long documents of the kind are held to be, by concept."""
+    docs = table(spark, sf_dir, "documents", F.col("doc_id").alias("anchor_id"), "doc_kind", "n_chars")
+    rows = judgments(spark, sf_dir).filter("outcome = 'completed'").join(docs, "anchor_id")
+    pairs = rows.select("slug", F.col("definition_confidence").isNotNull().alias("predicted"), ((F.col("doc_kind") == F.col("slug")) & (F.col("n_chars") > 1500)).alias("gold"), F.when(F.col("n_chars") > 1000, 2.0).otherwise(1.0).alias("weight"))
+    found = weighted_measures(pairs.na.fill(False), "slug", "predicted", "gold", "weight")
+    return found.select("slug", *(r6(c).alias(c) for c in ("precision", "recall", "f1")))
+
+
+def citation_faithfulness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations by state and the share of all that resolve to the main speaker's own words."""
+    rows = citation_check(spark, sf_dir).groupBy("state").agg(F.count("*").alias("citations"))
+    totals = rows.agg(F.sum("citations").alias("cited"), F.coalesce(F.sum(F.when(F.col("state") == "resolved", F.col("citations"))), F.lit(0)).alias("resolved"))
+    return rows.join(F.broadcast(totals)).select("state", "citations", r6(share(F.col("resolved"), F.col("cited"))).alias("faithful"))
+
+
 QUERIES = {
+    "media_paths": media_paths, "definition_measures": definition_measures, "citation_faithfulness": citation_faithfulness,
     "link_candidates": link_candidates,
     "footage_types": footage_types, "section_groups": section_groups, "evaluation_frame": evaluation_frame, "resumed_work": resumed_work, "kept_notes": kept_notes, "kind_runs": kind_runs,
     "section_breaks": section_breaks, "source_figures": source_figures, "facets": facets, "stale_transcripts": stale_transcripts, "catalogue_gate": catalogue_gate,
@@ -162,6 +190,15 @@ _LINKS = rf"""{_IT}, i AS (SELECT id AS item_id, {_normal("title")} AS t, {_norm
     WHEN phrase <> '' AND contains(lt, phrase) THEN 0.88::DOUBLE ELSE 0.0::DOUBLE END AS score FROM iy, l WHERE len(years) = 0 OR list_has_any(years, named))"""
 
 ORACLE = {
+    "media_paths": rf"""WITH {_IT}, x AS (SELECT it.id, trim(series_code) AS sc, series_order AS so, concat_ws('/', 'library', s.slug, CASE WHEN trim(series_code) <> '' THEN series_code END,
+        it.code || ' - ' || left(trim(regexp_replace(regexp_replace(coalesce(it.title, ''), '[<>:"/\|?*]', '', 'g'), '\s+', ' ', 'g')), 100) || '.' || CASE media_type WHEN 'video' THEN 'mp4' WHEN 'audio' THEN 'm4a' ELSE 'bin' END) AS path FROM it LEFT JOIN sections s ON s.id = it.section_id),
+      y AS (SELECT *, string_split(path, '/') AS p, coalesce(sc, '') <> '' AS has FROM x), z AS (SELECT *, CASE WHEN len(p) = 3 AND has THEN p[2] || '/' || sc || '/' || p[3] ELSE array_to_string(p[2:], '/') END AS inside FROM y)
+      SELECT id, path, CASE WHEN len(p) >= 4 AND has THEN 'library/' || p[2] || '/' || CASE WHEN so IS NOT NULL THEN lpad(so::VARCHAR, 4, '0') || '-' || sc ELSE sc END || '/' || p[-1] ELSE path END AS ordered,
+        '/media/library/' || regexp_replace(inside, '\.m4a$', '.mp4') AS video, regexp_replace('/media/library/' || inside, '([^/])\.[^./]*$', '\1') || '.mp3' AS sound FROM z""",
+    "definition_measures": f"""WITH {_JUDGED}, x AS (SELECT j.slug, j.definition_confidence IS NOT NULL AS p, coalesce(d.doc_kind = j.slug AND d.n_chars > 1500, false) AS g, CASE WHEN d.n_chars > 1000 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM jd j JOIN documents d ON d.doc_id = j.anchor_id WHERE outcome = 'completed'),
+      s AS (SELECT slug, coalesce(sum(w) FILTER (p AND g), 0) AS tp, coalesce(sum(w) FILTER (p AND NOT g), 0) AS fp, coalesce(sum(w) FILTER (NOT p AND g), 0) AS fn FROM x GROUP BY slug)
+      SELECT slug, round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision, round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall, round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1 FROM s""",
+    "citation_faithfulness": f"WITH q AS ({CORPUS['citation_check']}), g AS (SELECT state, count(*) AS citations FROM q GROUP BY state) SELECT state, citations, round(coalesce((SELECT sum(citations) FROM g WHERE state = 'resolved'), 0)::DOUBLE / (SELECT sum(citations) FROM g), 6) AS faithful FROM g",
     "link_candidates": f"WITH {_LINKS} SELECT item_id, link_id, score FROM sc WHERE score > 0",
     "footage_types": f"WITH {_IT}, x AS (SELECT id, CASE media_type WHEN 'audio' THEN 'audio_only' WHEN 'video' THEN 'video_footage' END AS footage, footage_type FROM it) SELECT id, footage, footage IS NOT DISTINCT FROM footage_type AS as_stated FROM x",
     "section_groups": f"WITH {_IT}, g(number, group_id) AS (VALUES {_GROUPS}) SELECT it.id, s.number, g.group_id, g.group_id IS NOT DISTINCT FROM it.mega_group AS as_stated FROM it LEFT JOIN sections s ON s.id = it.section_id LEFT JOIN g ON g.number = s.number",

@@ -133,6 +133,17 @@ def test_scopes_are_replaced_and_streams_are_idempotent(spark, tmp_path):
     assert sorted((r.k, r.v) for r in spark.read.parquet(table).collect()) == [("a", 9), ("b", 30)]
 
 
+def test_media_paths(spark):
+    schema = "slug string, code string, title string, medium string, series string, n int"
+    df = spark.createDataFrame([("1A", "B1", 'A/b: "c"?  d\\e', "video", "S", 7), ("1A", "B2", None, None, " ", None), ("1A", "B3", "x" * 200, "audio", None, 1)], schema)
+    path = X.future_path("slug", "code", "title", "medium", "series")
+    rows = df.withColumn("p", path).select("p", X.ordered_series_path("p", "series", "n").alias("o"), X.output_path("p", "mp3", "/r/", "series").alias("s"), X.output_path("p", "best", "/r", F.lit("Z")).alias("b"))
+    got = [tuple(r) for r in rows.collect()]
+    assert got[0] == ("library/1A/S/B1 - Ab c de.mp4", "library/1A/0007-S/B1 - Ab c de.mp4", "/r/library/1A/S/B1 - Ab c de.mp3", "/r/library/1A/S/B1 - Ab c de.m4a")
+    assert got[1] == ("library/1A/B2 - .bin", "library/1A/B2 - .bin", "/r/library/1A/B2 - .mp3", "/r/library/1A/Z/B2 - .bin")
+    assert got[2][0] == "library/1A/B3 - " + "x" * 100 + ".m4a"
+
+
 def test_a_scope_in_two_batches_is_whole(spark, tmp_path):
     table, source = str(tmp_path / "t"), str(tmp_path / "in")
     total = lambda d: d.groupBy("k").agg(F.sum("v").alias("v"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rostrum.session import size_in_bytes
+
 
 def allocate(sizes: DataFrame, stratum: str, size: int) -> DataFrame:
     """stratum, members, quota: one for each, the rest by members less one, remainders to the largest fractions (of ties the first stratum).
@@ -28,16 +32,19 @@ def allocate(sizes: DataFrame, stratum: str, size: int) -> DataFrame:
     return rows.select(stratum, "members", (1 + F.col("whole") + extra).cast("bigint").alias("quota"))
 
 
-def stratified_sample(frame: DataFrame, key: str, stratum: str, size: int, seed: int, slices: int = 256) -> DataFrame:
+def stratified_sample(frame: DataFrame, key: str, stratum: str, size: int, seed: int, slice_bytes: int = 8 << 20) -> DataFrame:
     """The frame's rows that are drawn, with sample_weight = members / quota.
 
     The draw is by the hash of seed and key: the same seed draws the same rows,
     whatever their order. A stratum's rows are ranked in two steps: counts per
     slice of the hash range find the slice in which its quota ends, and only that
-    slice is ranked; so a stratum with a third of all rows is no single task.
+    slice is ranked; so a stratum with a third of all rows is no single task. There
+    are as many slices as the frame's size asks for, and the draw does not depend on
+    their number.
     """
+    digits = max(2, ceil(log(max(1, size_in_bytes(frame) // slice_bytes), 16)))
     draw = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
-    rows = frame.withColumn("_draw", draw).withColumn("_slice", F.conv(F.substring("_draw", 1, 2), 16, 10).cast("int"))
+    rows = frame.withColumn("_draw", draw).withColumn("_slice", F.conv(F.substring("_draw", 1, digits), 16, 10).cast("bigint"))
     counts = rows.groupBy(stratum, "_slice").agg(F.count("*").alias("n"))
     sizes = counts.groupBy(stratum).agg(F.sum("n").alias("members"))
     quotas = allocate(sizes, stratum, size)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions.text import corpus_tier, percent, timecode, word_count
-from rostrum.operators.attribution import ABBREVIATIONS, LEAST_TAIL, MARKS, MOST_WORDS, TARGET_WORDS, admitted_labels, ends_sentence, passage_bounds, quality_rules
+from rostrum.operators.attribution import ABBREVIATIONS, LEAST_TAIL, MARKS, MOST_WORDS, TARGET_WORDS, admitted_labels, ends_sentence, inherited_turns, passage_bounds, quality_rules, split_at_labels
 from rostrum.operators.joins import band_join, close_calls, misattributed, nearest, reanchor
 from rostrum.operators.quality import citation_states
 from rostrum.session import r6, sql_list, table
@@ -188,6 +188,13 @@ def label_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admitted_labels(cues, "transcript_id", SEEDS)
 
 
+def labelled_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns by the labels that each transcript admits, wherever they stand; what has no label goes on with the speaker before."""
+    cues = segments(spark, sf_dir, "transcript_id", "seq", F.regexp_replace("raw_label", r"[.:]+$", "").alias("label"), "text", "t_start", "t_end")
+    turns = inherited_turns(split_at_labels(cues, label_registry(spark, sf_dir), "transcript_id"), "transcript_id")
+    return turns.withColumns({"t_start": r6("t_start"), "t_end": r6("t_end")})
+
+
 def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the announcer says, and whether it is an introduction: before the main speaker has said anything."""
     rows = segments(spark, sf_dir, "transcript_id", "seq", "speaker_code")
@@ -211,7 +218,7 @@ QUERIES = {
     "speaker_share": speaker_share, "tier_rollup": tier_rollup, "turns_merged": turns_merged, "answers_link": answers_link, "carried_labels": carried_labels,
     "question_ends": question_ends, "transcript_quality": transcript_quality, "overlapping_speech": overlapping_speech, "nearest_answer": nearest_answer,
     "citation_check": citation_check, "reanchored": reanchored, "misattributed_sources": misattributed_sources, "misattributed_close_calls": misattributed_close_calls, "stale_counts": stale_counts,
-    "passages": passages, "passage_words": passage_words, "label_registry": label_registry, "announcements": announcements, "speech_times": speech_times,
+    "passages": passages, "passage_words": passage_words, "label_registry": label_registry, "labelled_turns": labelled_turns, "announcements": announcements, "speech_times": speech_times,
 }
 
 _SEG = "seg AS (SELECT * EXCLUDE (loaded_at) FROM segments QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1)"
@@ -245,6 +252,20 @@ ORACLE = {
 ]({"|".join(sorted(SEEDS, key=lambda s: (-len(s), s)))}):', 1)) FROM seg),
       m(name, code) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in SEEDS.items())}), n AS (SELECT transcript_id, l AS raw_label, count(*) AS hits FROM x GROUP BY ALL)
       SELECT transcript_id, raw_label, coalesce(m.code, upper(raw_label)) AS speaker_code, hits FROM n LEFT JOIN m ON m.name = lower(trim(raw_label)) WHERE m.code IS NOT NULL OR (hits >= 2 AND regexp_full_match(raw_label, '[A-Z][A-Z0-9]{{0,3}}'))""",
+    "labelled_turns": rf"""WITH reg AS ({{_REGISTRY}}), {_SEG}, nm AS (SELECT transcript_id, lower(trim(raw_label)) AS name, min(speaker_code) AS code FROM reg GROUP BY ALL),
+      pt AS (SELECT transcript_id, string_agg(name, '|' ORDER BY -length(name), name) AS names FROM nm GROUP BY transcript_id),
+      mk AS (SELECT seg.id, seg.transcript_id, seq, t_start, t_end, regexp_replace(raw_label, '[.:]+$', '') AS label,
+        list_filter(string_split(CASE WHEN names IS NULL OR NOT contains(text, ':') THEN text ELSE regexp_replace(text, '(?i)(^|[\s.!?])(' || names || '):', '\1' || chr(1) || '\2' || chr(2), 'g') END, chr(1)), lambda x: trim(x, ' ') <> '') AS parts
+        FROM seg LEFT JOIN pt ON pt.transcript_id = seg.transcript_id WHERE text IS NOT NULL),
+      pc AS (SELECT id, transcript_id, seq, t_start, t_end, label, len(parts) > 1 AS synthetic, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS piece FROM mk),
+      sd AS (SELECT *, len(regexp_extract_all(CASE WHEN contains(part, chr(2)) THEN split_part(part, chr(2), 2) ELSE part END, '\S+')) AS words, lower(trim(CASE WHEN contains(part, chr(2)) THEN split_part(part, chr(2), 1) WHEN piece = 0 THEN label END)) AS name FROM pc),
+      tm AS (SELECT *, greatest(sum(words) OVER (PARTITION BY id), 1) AS total, sum(words) OVER (PARTITION BY id ORDER BY piece) AS upto FROM sd),
+      nd AS (SELECT tm.*, nm.code AS named, t_start + (t_end - t_start) * (upto - words) / total AS s, t_start + (t_end - t_start) * upto / total AS e FROM tm LEFT JOIN nm ON nm.transcript_id = tm.transcript_id AND nm.name = tm.name),
+      sp AS (SELECT *, coalesce(last_value(named IGNORE NULLS) OVER w, 'ANN') AS speaker FROM nd WINDOW w AS (PARTITION BY transcript_id ORDER BY seq, id, piece ROWS UNBOUNDED PRECEDING)),
+      ch AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER w THEN 0 ELSE 1 END AS opens FROM sp WINDOW w AS (PARTITION BY transcript_id ORDER BY seq, id, piece)),
+      tn AS (SELECT *, sum(opens) OVER (PARTITION BY transcript_id ORDER BY seq, id, piece ROWS UNBOUNDED PRECEDING) AS turn FROM ch)
+      SELECT transcript_id, CAST(turn AS BIGINT) AS turn, any_value(speaker) AS speaker_code, arg_min(CASE WHEN named IS NULL THEN 'inherit' ELSE 'label' END, (seq, id, piece)) AS attribution, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS pieces,
+        CAST(sum(words) AS BIGINT) AS words, round(arg_min({{{{'t': s}}}}, (seq, id, piece)).t, 6) AS t_start, round(arg_max({{{{'t': e}}}}, (seq, id, piece)).t, 6) AS t_end, bool_or(synthetic) AS synthetic FROM tn GROUP BY transcript_id, turn""",
     "announcements": f"WITH {_SEG}, x AS (SELECT id, transcript_id, speaker_code, coalesce(max((speaker_code = 'K')::INT) OVER (PARTITION BY transcript_id ORDER BY seq, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS intro FROM seg) SELECT id, transcript_id, intro FROM x WHERE speaker_code = 'ANN'",
     "speaker_share": f"""WITH {_SEG}, w AS (SELECT *, {_W} AS n, coalesce(greatest(t_end - t_start, 0), 0) AS span FROM seg),
       s AS (SELECT transcript_id, CAST(sum(n) AS BIGINT) AS words, CAST(sum(round(span * 1000)) AS BIGINT) AS ms, {", ".join(f"CAST(coalesce(sum(n) FILTER (speaker_code = '{s}'), 0) AS BIGINT) AS words_{s.lower()}" for s in SPEAKERS)} FROM w GROUP BY transcript_id)
@@ -295,3 +316,4 @@ ORACLE = {
     "passage_words": f"WITH {_SEG} SELECT id, {_W} AS words FROM seg WHERE speaker_code = 'K' AND {_W} > 0",
     "speech_times": f"WITH {_SEG} SELECT id, printf('%d:%02d:%02d', CAST(trunc(t_start) AS BIGINT) // 3600, CAST(trunc(t_start) AS BIGINT) % 3600 // 60, CAST(trunc(t_start) AS BIGINT) % 60) AS timecode, CAST(floor(t_start) AS BIGINT) AS whole_second FROM seg WHERE t_start >= 0",
 }
+ORACLE["labelled_turns"] = ORACLE["labelled_turns"].format(_REGISTRY=ORACLE["label_registry"])

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from rostrum.operators.attribution import attributed_passages, ends_sentence, passage_bounds, transcript_quality
+from rostrum.operators.attribution import attributed_passages, ends_sentence, inherited_turns, passage_bounds, split_at_labels, transcript_quality
 from rostrum.sources.subtitles import first_claims, last_timestamp, parse_cues, read_files, resolve_sources
 
 SEEDS = {"k": "K", "q": "Q", "questioner": "Q", "question": "Q", "announcer": "ANN"}
@@ -110,3 +110,21 @@ def test_siblings_are_tried_in_order(spark):
 def test_a_file_serves_its_first_claim(spark, rows):
     claims = spark.createDataFrame([("B", "f", 2), ("A", "f", 2), ("C", "g", None), ("D", None, 1)], "code string, path string, pdf_order int")
     assert [r[0] for r in rows(first_claims(claims, "pdf_order").select("code"))] == ["A", "C"]
+
+
+def test_cues_are_cut_and_turns_inherited(spark):
+    schema = "item string, id int, seq int, text string, label string, t_start double, t_end double"
+    cues = [
+        ("a", 1, 1, "Welcome all.", None, 0.0, 2.0), ("a", 2, 2, "K: One two. q: why? k: so it is", None, 10.0, 20.0), ("a", 3, 3, "going on", None, 20.0, 22.0), ("a", 4, 4, "Dr. X: no label here", "Q", 22.0, None),
+        ("a", 5, 5, None, "K", 1.0, 2.0), ("a", 6, 6, "  ", "K", 1.0, 2.0), ("b", 7, 1, "K: not admitted there", "K", 0.0, 1.0), ("c", 8, 1, "A.B: odd (x): y", None, 0.0, 6.0),
+    ]
+    admitted = [("a", "K", "K", 2), ("a", "k", "K", 1), ("a", "q", "Q", 1), ("c", "A.B", "AB", 1), ("c", "(x)", "X", 1)]
+    pieces = split_at_labels(spark.createDataFrame(cues, schema), spark.createDataFrame(admitted, "item string, raw_label string, speaker_code string, hits int"), "item")
+    got = sorted((r.item, r.seq, r.piece, r.named, r.said, r.words, r.t_start, r.t_end, r.synthetic) for r in pieces.collect())
+    assert got == [
+        ("a", 1, 0, None, "Welcome all.", 2, 0.0, 2.0, False), ("a", 2, 0, "K", "One two.", 2, 10.0, 10.0 + 10 * 2 / 6, True), ("a", 2, 1, "Q", "why?", 1, 10.0 + 10 * 2 / 6, 15.0, True),
+        ("a", 2, 2, "K", "so it is", 3, 15.0, 20.0, True), ("a", 3, 0, None, "going on", 2, 20.0, 22.0, False), ("a", 4, 0, "Q", "Dr. X: no label here", 5, None, None, False),
+        ("b", 7 - 6, 0, None, "K: not admitted there", 4, 0.0, 1.0, False), ("c", 1, 0, "AB", "odd", 1, 0.0, 3.0, True), ("c", 1, 1, "X", "y", 1, 3.0, 6.0, True),
+    ]
+    turns = {(r.item, r.turn): (r.speaker_code, r.attribution, r.first_seq, r.last_seq, r.words) for r in inherited_turns(pieces, "item").collect()}
+    assert turns == {("a", 1): ("ANN", "inherit", 1, 1, 2), ("a", 2): ("K", "label", 2, 2, 2), ("a", 3): ("Q", "label", 2, 2, 1), ("a", 4): ("K", "label", 2, 3, 5), ("a", 5): ("Q", "label", 4, 4, 5), ("b", 1): ("ANN", "inherit", 1, 1, 4), ("c", 1): ("AB", "label", 1, 1, 1), ("c", 2): ("X", "label", 1, 1, 1)}

@@ -36,7 +36,7 @@ _CUT, _MID, _END = "\u0001", "\u0002", "\u0003"
 NOISE = r"(?=[(<{*♪\[\d-])(?:%s)" % "|".join(
     [
         r"\(\([^()]*\)\)", r"<[^<>]*>", r"\{[^{}]*\}", r"\*[^*]{1,60}\*", r"--\s*[^-]{1,60}--", "♪[^♪]*♪",
-        r"[\[(][^\[\]()]*\d:\d\d[^\[\]()]*[\])]", r"(?<![\d:])\d{1,2}:\d\d(?::\d\d)?(?:[.,]\d+)?(?![\d:])",
+        r"[\[(][^\[\]()]*\d:\d\d[^\[\]()]*[\])]", r"(?<!\d)(?<!\d:)\d{1,2}:\d\d(?::\d\d)?(?:[.,]\d+)?(?![\d:])",
     ]
 )
 HESITATION = r"(?i)(?=[uemha])(?<![\p{L}\p{N}'’-])(?:u+h+m*|u+m+|e+r+m*|m{2,}|h+m+|a+h+|e+h+)(?![\p{L}\p{N}'’-])(?:\.{2,}|…)?,?"

@@ -39,6 +39,12 @@ def test_labels_codes_and_going_on(spark, speakers, block):
     ]
 
 
+def test_time_stamps_right_after_a_label(spark, speakers):
+    rows = [("UNK", None, "label", "Chairman:00:00:19 I see."), ("UNK", None, "label", "K:00:01:02"), ("UNK", None, None, "0:01:02:03 1:2 is a ratio")]
+    # a row of a label and a time stamp only takes no part
+    assert run(spark, speakers, rows) == [(1, 3, "ANN", "I see. 0:01:02:03 1:2 is a ratio")]
+
+
 def test_nulls_noise_repeats_and_unknown(spark, speakers):
     rows = [(None, None, None, "Who speaks?"), (None, None, "label", "Still."), ("XX", "Nobody Else", "label", "And now."), (None, None, None, None), (None, "K", "label", ""), (None, "K", "label", "*coughs* {bell} <00:00:01.000>")]
     assert run(spark, speakers, rows) == [(1, 3, "UNK", "Who speaks? Still. And now.")]

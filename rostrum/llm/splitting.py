@@ -25,7 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from rostrum.session import materialize
 
 LIMIT, OVERLAP = 260, 25
-RANGE_BYTES = 1 << 20
+#: Bytes of a range: of a file, and of a table's text. Pieces don't depend on them.
+RANGE_BYTES, TEXT_RANGE_BYTES = 1 << 20, 4 << 10
 HALO = 256
 
 # Abbreviations whose dot ends no sentence.
@@ -113,11 +114,11 @@ def scan_range(read: Reader, size: int, low: int, high: int, halo: int = HALO) -
         end = np.flatnonzero(~blank & after) + 1
         if first > 0 and len(end) and (not len(start) or end[0] <= start[0]):
             end = end[1:]
-        owned = int(np.searchsorted(start, high - first))
-        if last == size or owned < len(start):
-            break  # the last word of the range is whole, and what follows it is in sight
+        own, owned = (int(np.searchsorted(start, x - first)) for x in (low, high))
+        if last == size or owned < len(start) or own == owned:
+            break  # the last word of the range is whole, and what follows it is in sight; or none begins here
         reach *= 4
-    kept = slice(int(np.searchsorted(start, low - first)), owned)
+    kept = slice(own, owned)
     lines = np.append(0, np.cumsum((raw == 10) | (raw == 13)))
     following = np.append(start[1:], len(raw))
     natural = lines[following] > lines[end[: len(start)]]
@@ -238,6 +239,8 @@ class Owned:
     @classmethod
     def read(cls, read: Reader, size: int, low: int, high: int, limit: int) -> Owned:
         own = scan_range(read, size, low, high)
+        if not len(own.start):
+            return cls(0, own)  # within one word or blanks: no piece begins here
         more = _words_after(read, size, high, limit) if high < size else Words(own.start[:0], own.end[:0], own.natural[:0])
         return cls(len(own.start), Words(*(np.concatenate([getattr(w, x) for w in (own, more)]) for x in ("start", "end", "natural"))))
 
@@ -350,14 +353,20 @@ def _kind(most: Column | str, limit: int) -> Column:
 PIECES = "id bigint, piece int, pieces int, first_word bigint, words int, all_words bigint, start_s double, end_s double, cut_kind string, text_kind string, text string"
 
 
-def _slices(rows: DataFrame, range_bytes: int, before: int, after: int, *more: str) -> DataFrame:
-    """id, version, size, low, from, data: the ranges of each text with their halos. A text of one range is one slice."""
+RANGE_KEYS = ["id", "version", "low"]
+
+
+def _slices(rows: DataFrame, range_bytes: int, halo: int, *more: str, only: DataFrame | None = None) -> DataFrame:
+    """id, version, size, low, from, data: the ranges of each text with their halos, or those that `only` names. A text of one range is one slice."""
     texts = rows.select("id", F.xxhash64("text").alias("version"), *more, F.encode("text", "utf-8").alias("whole"))
     size = F.octet_length("whole").cast("bigint")
     texts = texts.select("id", "version", *more, "whole", size.alias("size"), F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1, F.lit(range_bytes).cast("bigint"))).alias("low"))
-    begin = F.greatest(F.col("low") - before, F.lit(0))
-    data = F.expr(f"substring(whole, cast(greatest(low - {before}, 0) + 1 as int), cast({range_bytes} + {after} + least(low, {before}) as int))")
-    return texts.select("id", "version", *more, "size", "low", begin.alias("from"), data.alias("data"))
+    if only is not None:
+        texts = texts.join(only, RANGE_KEYS)
+        more = (*more, *(c for c in only.columns if c not in RANGE_KEYS))
+    begin = F.greatest(F.col("low") - halo, F.lit(0))
+    data = F.expr(f"substring(whole, cast(greatest(low - {halo}, 0) + 1 as int), cast({range_bytes} + {halo} + least(low, {halo}) as int))")
+    return texts.select("id", "version", "size", "low", begin.alias("from"), data.alias("data"), *more)
 
 
 def _slice_reader(data: bytes, begin: int, size: int) -> Reader:
@@ -373,8 +382,8 @@ def _scan(limit: int, range_bytes: int, overlap: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            ids, versions, sizes, lows, begins = (b.column(i).to_pylist() for i in range(5))
-            for i, version, size, low, begin, data in zip(ids, versions, sizes, lows, begins, b.column(5), strict=True):
+            ids, versions, sizes, lows, begins = (b.column(c).to_pylist() for c in ("id", "version", "size", "low", "from"))
+            for i, version, size, low, begin, data in zip(ids, versions, sizes, lows, begins, b.column("data"), strict=True):
                 read = _slice_reader(data.as_buffer().to_pybytes(), begin, size)
                 key = {"id": i, "version": version, "low": low, "size": size}
                 try:
@@ -389,14 +398,18 @@ def _scan(limit: int, range_bytes: int, overlap: int | None):
     return run
 
 
-def _scanned(rows: DataFrame, limit: int, range_bytes: int, overlap: int | None, name: str) -> tuple[DataFrame, int]:
-    """The boundary tables of all ranges, and the halo that was wide enough for all."""
-    halo = HALO if overlap is None else 32 * limit + 4 * HALO
+def _scanned(rows: DataFrame, limit: int, range_bytes: int, overlap: int | None, name: str) -> tuple[DataFrame, list[int]]:
+    """The boundary tables of all ranges, each with the halo that was wide enough for it, and the halos that were used."""
+    halo, only, found, used = HALO if overlap is None else 32 * limit + 4 * HALO, None, None, []
     while True:
-        tables = materialize(_slices(rows, range_bytes, halo, halo).mapInArrow(_scan(limit, range_bytes, overlap), TABLES_SQL), name)
-        if tables.filter("short").isEmpty():
-            return tables, halo
-        halo *= 16  # a text has words or blanks longer than the halo
+        slices = _slices(rows, range_bytes, halo, only=only)
+        tables = materialize(slices.mapInArrow(_scan(limit, range_bytes, overlap), TABLES_SQL), name)
+        whole = tables.filter("not short").withColumn("halo", F.lit(halo))
+        found, used = whole if found is None else found.unionByName(whole), [*used, halo]
+        only = tables.filter("short").select(*RANGE_KEYS).distinct()
+        if only.isEmpty():
+            return found, used
+        halo *= 16  # these ranges have words or blanks longer than the halo
 
 
 def _long_rows(df: DataFrame, id_col: str, text_col: str, limit: int, *more: Column) -> DataFrame:
@@ -405,7 +418,7 @@ def _long_rows(df: DataFrame, id_col: str, text_col: str, limit: int, *more: Col
     return rows.filter(f"id is not null and length(text) > {2 * limit}")
 
 
-def oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, range_bytes: int = TEXT_RANGE_BYTES) -> DataFrame:
     """id, cut_kind ('natural' if no stretch between natural boundaries exceeds the limit, else 'forced') and all_words of every text of more than `limit` words.
 
     Defined cases: null and empty texts and rows without an id are no items.
@@ -436,7 +449,7 @@ def _emit(limit: int, overlap: int, range_bytes: int):
     return run
 
 
-def split_texts(df: DataFrame, id_col: str, text_col: str, start_col: str, end_col: str, limit: int = LIMIT, overlap: int = OVERLAP, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def split_texts(df: DataFrame, id_col: str, text_col: str, start_col: str, end_col: str, limit: int = LIMIT, overlap: int = OVERLAP, range_bytes: int = TEXT_RANGE_BYTES) -> DataFrame:
     """Ordered pieces of at most `limit` words of every text of more, neighbours sharing `overlap` words.
 
     A piece ends at the last natural boundary that fits, else at the limit. Its
@@ -450,11 +463,12 @@ def split_texts(df: DataFrame, id_col: str, text_col: str, start_col: str, end_c
     rows = _long_rows(df, id_col, text_col, limit, F.col(start_col).cast("double").alias("t_start"), F.col(end_col).cast("double").alias("t_end"))
     rows = rows.groupBy("id").agg(F.min(F.struct("text", "t_start", "t_end")).alias("x")).select("id", "x.*")
     rows = materialize(rows, "long-texts")
-    tables, halo = _scanned(rows, limit, range_bytes, overlap, "boundaries")
+    tables, halos = _scanned(rows, limit, range_bytes, overlap, "boundaries")
     sums = totals(tables, limit).select("id", "version", F.col("words").alias("all_words"), F.col("pieces").cast("int").alias("all_pieces"), _kind("most", limit).alias("text_kind"))
-    placed = places(tables, limit).join(sums, ["id", "version"])
-    slices = _slices(rows, range_bytes, halo, halo, "t_start", "t_end").join(placed, ["id", "version", "low"])
-    return slices.mapInArrow(_emit(limit, overlap, range_bytes), PIECES)
+    placed = places(tables, limit).join(sums, ["id", "version"]).join(tables.select(*RANGE_KEYS, "halo").distinct(), RANGE_KEYS)
+    placed = materialize(placed, "places") if len(halos) > 1 else placed
+    slices = [_slices(rows, range_bytes, halo, "t_start", "t_end", only=placed.filter(F.col("halo") == halo).drop("halo")) for halo in halos]
+    return reduce(DataFrame.unionByName, slices).mapInArrow(_emit(limit, overlap, range_bytes), PIECES)
 
 
 # -- giant files -------------------------------------------------------------------------

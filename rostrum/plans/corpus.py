@@ -154,9 +154,11 @@ def misattributed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def misattributed_close_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shared source files that more than one transcript's duration fits, with the one kept and the runners-up."""
-    found = close_calls(_source_claims(spark, sf_dir))
-    return found.select(F.col("path").alias("source_path"), F.col("keeper").alias("keeper_id"), "runners_up")
+    """Shared source files that more than one transcript fits by the minutes that its own segments last, with the one kept and the runners-up."""
+    ends = segments(spark, sf_dir, "transcript_id", "t_end").groupBy("transcript_id").agg(F.ceil(F.max("t_end") / 60).cast("int").alias("expected_minutes"))
+    claims = _source_claims(spark, sf_dir).drop("expected_minutes").join(ends.withColumnRenamed("transcript_id", "code"), "code", "left")
+    found = close_calls(claims)
+    return found.select(F.col("path").alias("source_path"), F.col("keeper").alias("keeper_id"), F.array_join(F.transform("runners_up", lambda x: x.cast("string")), ",").alias("runners_up"))
 
 
 def stale_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,9 +309,10 @@ ORACLE = {
     "misattributed_sources": f"""WITH {_TR}, {_IT}, c AS (SELECT tr.id, tr.source_path, abs(tr.duration_secs - it.duration_minutes * 60.0) AS drift, it.duration_minutes * 60.0 AS expected FROM tr LEFT JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL),
       f AS (SELECT source_path, arg_min(id, (drift, id)) AS keeper_id FROM c WHERE expected <> 0 AND drift <= greatest(180.0, 0.08 * expected) GROUP BY source_path)
       SELECT c.id AS transcript_id, c.source_path, f.keeper_id FROM c LEFT JOIN f USING (source_path) WHERE c.id IS DISTINCT FROM f.keeper_id AND c.source_path IN (SELECT source_path FROM c GROUP BY source_path HAVING count(*) > 1)""",
-    "misattributed_close_calls": f"""WITH {_TR}, {_IT}, r AS (SELECT tr.id, tr.source_path, abs(tr.duration_secs - it.duration_minutes * 60.0) AS drift, it.duration_minutes * 60.0 AS expected FROM tr JOIN it ON it.k = upper(trim(tr.item_code)) WHERE source_path IS NOT NULL),
+    "misattributed_close_calls": f"""WITH {_TR}, {_SEG}, m AS (SELECT transcript_id, CAST(ceil(max(t_end) / 60) AS INT) * 60.0 AS expected FROM seg GROUP BY transcript_id),
+      r AS (SELECT tr.id, tr.source_path, abs(tr.duration_secs - m.expected) AS drift, m.expected FROM tr JOIN m ON m.transcript_id = tr.id WHERE source_path IS NOT NULL),
       f AS (SELECT source_path, list(id ORDER BY drift, id) AS ids FROM r WHERE expected <> 0 AND drift <= greatest(180.0, 0.08 * expected) GROUP BY source_path HAVING count(*) > 1)
-      SELECT source_path, ids[1] AS keeper_id, ids[2:] AS runners_up FROM f""",
+      SELECT source_path, ids[1] AS keeper_id, array_to_string(ids[2:], ',') AS runners_up FROM f""",
     "stale_counts": f"""WITH {_SEG}, {_TR}, {_IT}, f AS (SELECT transcript_id, count(*) AS n, sum({_W}) AS w FROM seg GROUP BY transcript_id)
       SELECT tr.id, it.title, tr.segment_count, coalesce(f.n, 0) AS segments_found, tr.word_count, CAST(coalesce(f.w, 0) AS BIGINT) AS words_found, coalesce(tr.segment_count <> coalesce(f.n, 0), true) AS stale
       FROM tr LEFT JOIN it ON it.k = upper(trim(tr.item_code)) LEFT JOIN f ON f.transcript_id = tr.id""",

@@ -18,6 +18,7 @@ DEFAULT_FILE = "byte_bpe_50k.tiktoken"
 
 
 def default_path() -> str:
+    """The rank file in the folder that $ROSTRUM_TOKENIZERS names, else where the public files are installed."""
     folder = os.environ.get("ROSTRUM_TOKENIZERS", "/opt/tokenizers")
     if not os.path.isdir(folder) and (spec := importlib.util.find_spec("public_tokenizers")):
         folder = os.path.dirname(spec.origin or "")
@@ -45,7 +46,12 @@ def _count(path: str):
 
 
 def token_counts(df: DataFrame, text_col: str, keep: dict[str, str], path: str | None = None) -> DataFrame:
-    """The columns named in `keep` (new name: SQL expression) and `tokens`, 0 for a null or empty text. Whole texts are encoded."""
+    """The columns named in `keep` (new name: SQL expression) and `tokens`, 0 for a null or empty text. Whole texts are encoded.
+
+    The rank file is the one at `path`, else the one that the session's setting
+    spark.rostrum.tokenizer names, else `default_path`; executors read it there.
+    """
+    path = path or df.sparkSession.conf.get("spark.rostrum.tokenizer", "") or default_path()
     rows = df.select(F.col(text_col).cast("string").alias("_text"), *(F.expr(e).alias(n) for n, e in keep.items()))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:]) + ", tokens bigint"
-    return rows.mapInArrow(_count(path or default_path()), schema)
+    return rows.mapInArrow(_count(path), schema)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import random
 from itertools import product
 
@@ -105,6 +106,17 @@ def test_token_counts_are_the_encoders(spark):
     assert enc.decode(enc.encode_ordinary(texts[3][1])) == texts[3][1]
 
 
+def test_the_rank_file_is_a_setting(spark, tmp_path):
+    df = spark.createDataFrame([(1, "ab ab")], "id bigint, text string")
+    (tmp_path / "own").write_text("\n".join(f"{base64.b64encode(bytes([b])).decode()} {b}" for b in range(256)))
+    spark.conf.set("spark.rostrum.tokenizer", str(tmp_path / "own"))
+    try:
+        assert token_counts(df, "text", {"id": "id"}).first().tokens == 5
+    finally:
+        spark.conf.unset("spark.rostrum.tokenizer")
+    assert token_counts(df, "text", {"id": "id"}).first().tokens == token_counts(df, "text", {"id": "id"}, default_path()).first().tokens < 5
+
+
 def test_shares_go_to_siblings():
     assert share_out(np.array([1.0, 1.0, 2.0]), np.array([10.0, 100.0, 100.0]), 100).tolist() == pytest.approx([10, 30, 60])
     assert share_out(np.array([1.0, 0.0]), np.array([10.0, 100.0]), 50).tolist() == pytest.approx([10, 40])

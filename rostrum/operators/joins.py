@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.functions.text import code_parts, normal_title, title_tail, titles_match
+from rostrum.functions.text import TAIL_HEAD, TITLE_HEAD, code_parts, normal_title, title_tail
+from rostrum.session import materialize, partitions
 from rostrum.sources.subtitles import duration_fits
 
 
@@ -77,9 +78,12 @@ def reanchor(anchors: DataFrame, passages: DataFrame) -> DataFrame:
     return rows.select("anchor_id", F.when(found.isNotNull(), "live").otherwise("stale").alias("status"), found.alias("live_seq"))
 
 
-#: Parts of place names that a link's title may have alone; letters by which undated titles meet.
+#: Parts of place names that a link's title may have alone.
 PLACE_WORDS = "brockwood london saanen madras chennai bombay mumbai delhi bangalore rajghat rishi ojai berkeley malibu calcutta kolkata amsterdam ommen gstaad wimbledon".split()
-GRAM = 8
+#: Numbers of last letters by which a text is looked for in others; bits of the map of what is looked for.
+ENDS, MAP_BITS = (16, 8, 4, 3, 2, 1, 0), 1 << 22
+#: In place of the years of an item without any, and of the places of one without any.
+ANY_YEAR, ANY_PLACE = 0, ""
 
 
 def _item_years(year: Column, code: Column) -> Column:
@@ -98,41 +102,75 @@ def _link_years(title: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(whole, pair(1), pair(2)), lambda y: y.between(1900, 2035)))
 
 
-def _grams(text: Column) -> Column:
-    """All runs of up to GRAM letters of a text, and the empty one."""
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda at: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.substring(text, at, n))))
-    return F.array_distinct(F.concat(F.array(F.lit("")), runs))
+def _containing(texts: DataFrame, text: str, needles: DataFrame) -> DataFrame:
+    """The rows of `texts` by each needle that the text contains, with the columns of `needles`; a row may come more than once.
+
+    A needle is looked for by its last letters, as many of ENDS as it has, at every
+    place of a text. What no needle ends in is dropped where it is made, by a map
+    of hashes whose size is fixed. The join is never a broadcast: how far texts
+    grow into runs of letters is not known to the planner.
+    """
+    needles = needles.filter("needle is not null").withColumn("end", F.right("needle", F.coalesce(*(F.when(F.length("needle") >= k, k) for k in ENDS))))
+    sizes = [r[0] for r in needles.select(F.length("end")).distinct().collect()]  # no more than ENDS has
+    bucket = F.pmod(F.hash("end"), F.lit(MAP_BITS))
+    word, bit = F.shiftright(bucket, 6), bucket.bitwiseAND(63)
+    set_bits = needles.select(word.cast("bigint").alias("word"), F.expr("1L").alias("one"), bit.alias("bit")).selectExpr("word", "shiftleft(one, bit) as bits")
+    every = needles.sparkSession.range(MAP_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = every.unionByName(set_bits).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    wanted = words.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words")).select(F.col("words.bits")).scalar()
+    starts = F.when(F.col("size") == 0, F.array(F.lit(1))).when(F.length(text) >= F.col("size"), F.sequence(F.lit(1), F.length(text) - F.col("size") + 1))
+    runs = texts.select("*", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")).alias("size")).select("*", F.explode(starts).alias("at"))
+    runs = runs.withColumn("end", F.substring(text, F.col("at"), F.col("size"))).drop("size", "at")
+    runs = runs.filter(F.getbit(F.element_at(wanted, word + 1), bit) == 1)
+    return runs.join(needles.hint("merge"), "end").filter(F.contains(text, "needle")).drop("end")
 
 
 def link_scores(items: DataFrame, links: DataFrame) -> DataFrame:
-    """item_id, link_id, score for pairs of one block: 1.0 if the titles match, 0.88 if the event's number is named.
+    """item_id, link_id, score of the pairs that belong together: 1.0 if the titles match (`titles_match`), 0.88 if the event's number is named.
 
     `items` has item_id, title, event_label, event_number and year, and may have
     code and place_name. An item of known years (its own and its code's) meets the
-    links that name one of them; one without meets any link, by the first letters
-    of the titles and events that occur in each other, so never all pairs are
-    formed. A link whose title does not name the item's place scores 0; a title
-    that is only a numbered question meeting matches none.
+    links that name one of them, one without meets any link. A link whose title does
+    not name the item's place is none of its; a title that is only a numbered
+    question meeting matches none. Heads of titles, numbered events and places are
+    looked for in all links' titles at once, and heads of links' tails in all items'
+    titles; pairs are formed only where year, place and what was found agree. (A
+    title's head in a link's tail is in the whole title too.)
     """
     optional = lambda c: (F.col(c) if c in items.columns else F.lit(None)).cast("string")
-    items = items.select("item_id", "title", "event_label", "event_number", optional("place_name").alias("place_name"), _item_years(F.col("year"), optional("code")).alias("years"))
-    phrase = normal_title(F.concat_ws(" ", "event_label", "event_number"))
-    dated = links.select("link_id", "link_title", F.explode(_link_years(F.col("link_title"))).alias("year"))
-    by_year = items.filter(F.size("years") > 0).select("*", F.explode("years").alias("year")).join(dated, "year").drop("year")
-    undated = items.filter(F.size("years") == 0)
-    head = lambda c: F.substring(c, 1, GRAM)
-    wanted = F.filter(F.array(head(normal_title("title")), head(phrase)), lambda k: k != "")
-    by_item = undated.select("*", F.explode(F.array_distinct(wanted)).alias("key")).join(links.select("link_id", "link_title", F.explode(_grams(normal_title("link_title"))).alias("key")), "key")
-    by_link = undated.select("*", F.explode(_grams(normal_title("title"))).alias("key")).join(links.select("link_id", "link_title", head(title_tail("link_title")).alias("key")), "key")
-    pairs = by_year.unionByName(by_item.drop("key")).unionByName(by_link.drop("key"))
-    words = F.array(normal_title(F.substring_index("place_name", ",", 1)), *(F.when(F.contains(F.lower("place_name"), F.lit(w)), F.lit(w)) for w in PLACE_WORDS))
-    keys = F.filter(words, lambda w: F.length(w) >= 4)
-    placed = (F.size(keys) == 0) | F.exists(keys, lambda w: F.contains(normal_title("link_title"), w))
-    generic = normal_title("title").rlike(r"^\d+(?:st|nd|rd|th)\s+question\s+and\s+answer\s+meeting$")
-    matched = titles_match("title", "link_title") & ~generic
-    numbered = F.contains(normal_title("link_title"), phrase) & (phrase != "")
-    score = F.when(~placed, 0.0).when(matched, 1.0).when(numbered, 0.88).otherwise(0.0)
-    return pairs.groupBy("item_id", "link_id").agg(F.max(score).alias("score"))
+    or_any = lambda found, instead: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(instead)))
+    parts = partitions(items.sparkSession)
+
+    place, title, phrase = optional("place_name"), normal_title("title"), normal_title(F.concat_ws(" ", "event_label", "event_number"))
+    words = F.array(normal_title(F.substring_index(place, ",", 1)), *(F.when(F.contains(F.lower(place), F.lit(w)), F.lit(w)) for w in PLACE_WORDS))
+    places = F.array_distinct(F.filter(words, lambda w: F.length(w) >= 4))
+    generic = title.rlike(r"^\d+(?:st|nd|rd|th)\s+question\s+and\s+answer\s+meeting$")
+    items = items.select("item_id", F.when((title != "") & ~generic, title).alias("title"), phrase.alias("phrase"), or_any(_item_years(F.col("year"), optional("code")), ANY_YEAR).alias("years"), or_any(places, ANY_PLACE).alias("places"))
+    items = materialize(items.repartition(parts), "link-items")
+    links = links.filter("link_title is not null").select("link_id", normal_title("link_title").alias("text"), F.left(title_tail("link_title"), F.lit(TAIL_HEAD)).alias("tail"), _link_years(F.col("link_title")).alias("years"))
+    links = materialize(links.repartition(parts), "link-titles")
+
+    way = F.struct((F.col("years")[0] != ANY_YEAR).alias("dated"), (F.col("places")[0] != ANY_PLACE).alias("placed"))
+    heads = F.array(F.struct(F.left("title", F.lit(TITLE_HEAD)).alias("needle"), F.lit(1.0).alias("score")), F.struct(F.col("phrase").alias("needle"), F.lit(0.88).alias("score")))
+    by_head = items.select("item_id", "years", "places", F.inline(F.filter(heads, lambda h: h["needle"] != ""))).withColumn("of_tail", F.lit(False))
+    asked = by_head.select("needle", way.alias("way"), F.lit(False).alias("is_place"))
+    asked = asked.unionByName(items.filter(F.col("places")[0] != ANY_PLACE).select(F.explode("places").alias("needle"), F.lit(None).cast("struct<dated: boolean, placed: boolean>").alias("way"), F.lit(True).alias("is_place")))
+    needles = materialize(asked.groupBy("needle").agg(F.collect_set("way").alias("ways"), F.max("is_place").alias("is_place")), "link-needles")
+    found = _containing(links, "text", needles)
+    found = found.unionByName(links, allowMissingColumns=True).groupBy(*links.columns)
+    sought = F.when(F.size("ways") > 0, F.struct("needle", "ways", F.lit(False).alias("of_tail")))
+    found = found.agg(F.collect_set(F.when(F.col("is_place"), F.col("needle"))).alias("places"), F.collect_set(sought).alias("sought"))
+
+    all_ways = F.array(*(F.struct(F.lit(d).alias("dated"), F.lit(p).alias("placed")) for d in (True, False) for p in (True, False)))
+    tail = F.array(F.struct(F.col("tail").alias("needle"), all_ways.alias("ways"), F.lit(True).alias("of_tail")))
+    named = found.select("link_id", "years", "places", F.inline(F.concat("sought", tail))).select("link_id", "years", "places", "needle", "of_tail", F.inline("ways"))
+    named = named.withColumn("years", F.when(F.col("dated"), F.col("years")).otherwise(F.array(F.lit(ANY_YEAR)))).withColumn("places", F.when(F.col("placed"), F.col("places")).otherwise(F.array(F.lit(ANY_PLACE))))
+    tails = materialize(links.select(F.col("tail").alias("needle")).distinct(), "link-tails")
+    by_tail = _containing(items.filter("title is not null").select("item_id", "title", "years", "places"), "title", tails).select("item_id", "years", "places", "needle").distinct()
+    wanted = by_head.unionByName(by_tail.select("*", F.lit(1.0).alias("score"), F.lit(True).alias("of_tail")))
+    each = lambda rows, *columns: rows.select(*columns, "places", "needle", "of_tail", F.explode("years").alias("year")).select(*columns, "needle", "of_tail", "year", F.explode("places").alias("place"))
+    pairs = each(wanted, "item_id", "score").join(each(named, "link_id").hint("merge"), ["needle", "of_tail", "year", "place"])
+    return pairs.groupBy("item_id", "link_id").agg(F.max("score").alias("score"))
 
 
 def greedy_assignment(scores: DataFrame, order: DataFrame, least: float = 0.85) -> DataFrame:

@@ -69,6 +69,25 @@ def test_undated_link_scores_against_all_pairs(spark, rows):
     assert len(want) > 50 and rows(link_scores(items, links).filter("score > 0")) == want
 
 
+def test_link_scores_are_never_broadcast_and_keep_years_and_places(spark, rows, tmp_path):
+    rng = random.Random(5)
+    places, words = ["Brenwick", "near Brenwick", "Port Ellery, Oshmar", "Ab", None], "order fear mind quiet".split()
+    text = lambda: rng.choice([" ", " - "]).join(rng.choice(words) for _ in range(rng.randrange(1, 5)))
+    items = [(i, text(), "Talk", str(rng.randrange(1, 30)), rng.choice([1961, 1962, None]), rng.choice(places)) for i in range(80)]
+    links = [(i, " ".join([rng.choice(["Brenwick", "Port Ellery", "Ab"]), rng.choice(["1961", "62/61", ""]), rng.choice(["- ", "", "Talk 1", "Talk 12 - "]), text(), rng.choice(["", " – …"])])) for i in range(80)]
+    spark.createDataFrame(items, "item_id bigint, title string, event_label string, event_number string, year int, place_name string").write.parquet(f"{tmp_path}/items")
+    spark.createDataFrame(links, "link_id bigint, link_title string").write.parquet(f"{tmp_path}/links")
+    items, links = spark.read.parquet(f"{tmp_path}/items"), spark.read.parquet(f"{tmp_path}/links")
+    found = link_scores(items, links)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()  # the planner takes texts cut into runs of letters to be small
+    place, phrase = normal_title(F.substring_index("place_name", ",", 1)), normal_title(F.concat_ws(" ", "event_label", "event_number"))
+    named = F.contains("link_title", F.col("year").cast("string")) | F.contains("link_title", F.concat(F.lit("/"), F.substring(F.col("year").cast("string"), 3, 2))) | F.contains("link_title", F.concat(F.substring(F.col("year").cast("string"), 3, 2), F.lit("/")))
+    there = place.isNull() | (F.length(place) < 4) | F.contains(normal_title("link_title"), place)
+    score = F.when(titles_match("title", "link_title"), 1.0).when(F.contains(normal_title("link_title"), phrase), 0.88)
+    want = rows(items.crossJoin(links).filter((F.col("year").isNull() | named) & there).select("item_id", "link_id", score.alias("score")).filter("score > 0"))
+    assert len({s for _, _, s in want}) == 2 and rows(found.filter("score > 0")) == want
+
+
 def test_misattributed(spark, rows):
     claims = spark.createDataFrame([("A", "f", 3600.0, 61), ("B", "f", 3600.0, 30), ("C", "f", 3600.0, None), ("D", "g", 60.0, 1)], "code string, path string, actual_secs double, expected_minutes int")
     assert rows(misattributed(claims)) == [("B", "f", "A"), ("C", "f", "A")]
